@@ -33,13 +33,13 @@ def assign(points: DataFrame, centers: Centers) -> DataFrame:
     return points.withColumn("cid", nearest_center("x", "y", centers).cast("int"))
 
 
-def _weight(points: DataFrame) -> F.Column:
+def weight_column(points: DataFrame) -> F.Column:
     return F.col("n") if "n" in points.columns else F.lit(1).cast("bigint")
 
 
 def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
     """A4 + A5: ``(cid, mx, my, size)`` of every non-empty cluster."""
-    w = _weight(points)
+    w = weight_column(points)
     assigned = assign(points, centers)
     return assigned.groupBy("cid").agg(
         F.sum(F.col("x").cast("bigint") * w).alias("sx"),

@@ -13,15 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postclust.functions.lang import lang_label
-from postclust.operators.kmeans import Centers, _weight, assign
+from postclust.operators.kmeans import Centers, weight_column, assign
 from postclust.params import Params
 
 
 def cluster_lang_stats(points: DataFrame, centers: Centers) -> DataFrame:
     """A7 (+ the per-language median of A10): ``(cid, x, n, median_score)``."""
-    w = _weight(points)
+    return lang_stats_of_assigned(assign(points, centers))
+
+
+def lang_stats_of_assigned(assigned: DataFrame) -> DataFrame:
+    """A7 + per-language median over vectors that already carry ``cid``
+    (optionally weighted by ``n``)."""
+    w = weight_column(assigned)
     return (
-        assign(points, centers)
+        assigned
         .groupBy("cid", "x")
         .agg(
             F.sum(w).alias("n"),
