@@ -1,7 +1,7 @@
 """Exact integer k-means.
 
 The centers are the only driver state: at most ``kernels`` integer pairs. One
-iteration is one Spark job over the weighted points:
+iteration is one Spark job over the weighted points (``kmeans_step``):
 
     assign every point to its nearest center (a per-row expression)
     -> per-center weighted sums (partial aggregate per task, <= k rows each)
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postclust.functions.arith import int_div
-from postclust.functions.geometry import nearest_center, point_shift, total_shift
+from postclust.functions.geometry import nearest_center, nearest_center_sql, point_shift, total_shift
 from postclust.params import Params
 
 Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
@@ -53,10 +53,34 @@ def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
     )
 
 
+def _centroid_sql(cid: int, weight: str) -> str:
+    n = f"sum(CASE WHEN cid = {cid} THEN {weight} END)"
+    sx = f"sum(CASE WHEN cid = {cid} THEN CAST(x AS BIGINT) * {weight} END)"
+    sy = f"sum(CASE WHEN cid = {cid} THEN CAST(y AS BIGINT) * {weight} END)"
+    return f"named_struct('mx', CAST({sx} div {n} AS INT), 'my', CAST({sy} div {n} AS INT))"
+
+
+def step_means(points: DataFrame, centers: Centers) -> list:
+    """A4 + A5 as one global aggregate: element i is the integer centroid of
+    the points nearest to center i (NULL fields when none is).
+
+    Same result as ``cluster_means`` but a single result row: each task folds
+    its points into k partial sums, and a points table held in one partition
+    needs no exchange at all, so one iteration is one short stage.
+    """
+    weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
+    assigned = points.selectExpr("x", "y", f"{weight} AS n", f"{nearest_center_sql('x', 'y', centers)} AS cid")
+    means = "array(" + ", ".join(_centroid_sql(int(cid), "n") for cid, _, _ in centers) + ")"
+    return assigned.agg(F.expr(means).alias("m")).collect()[0]["m"]
+
+
 def kmeans_step(points: DataFrame, centers: Centers) -> Centers:
     """K1: one update; empty clusters keep their previous center."""
-    moved = {r["cid"]: (r["mx"], r["my"]) for r in cluster_means(points, centers).collect()}
-    return [(cid, *moved.get(cid, (x, y))) for cid, x, y in centers]
+    means = step_means(points, centers)
+    return [
+        (cid, m["mx"], m["my"]) if m["mx"] is not None else (cid, x, y)
+        for (cid, x, y), m in zip(centers, means)
+    ]
 
 
 def converged(shift: float, params: Params) -> bool:

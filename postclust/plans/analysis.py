@@ -33,7 +33,7 @@ from postclust.session import cut_lineage
 
 # Weighted points per partition of the persisted fit input; a step's cost is
 # dominated by task overhead well below this size.
-POINTS_PER_PARTITION = 1_000_000
+POINTS_PER_PARTITION = 200_000
 
 
 class RowCountError(AssertionError):
@@ -41,16 +41,23 @@ class RowCountError(AssertionError):
 
 
 def prepare_points(vectors: DataFrame) -> DataFrame:
-    """Weighted points, in ``ceil(rows / POINTS_PER_PARTITION)`` partitions,
-    materialized once for the fit loop and the summary."""
+    """Weighted points, materialized once for the fit loop and the summary.
+
+    The rows are counted to size the table at ``ceil(rows / POINTS_PER_PARTITION)``
+    partitions, cut from their lineage, and cached on top of the cut with that
+    partition count, so that a one-partition table is known as such to the
+    planner and a fit step runs without an exchange.
+    """
     weighted = weigh_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     rows = weighted.count()
     parts = max(1, math.ceil(rows / POINTS_PER_PARTITION))
-    current = weighted.rdd.getNumPartitions()
-    sized = weighted.coalesce(parts) if parts < current else weighted
-    materialized = cut_lineage(sized)
+    cut = cut_lineage(weighted.coalesce(parts) if parts < weighted.rdd.getNumPartitions() else weighted)
+    sized = cut.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    sized.count()
+    if cut is not weighted:
+        cut.unpersist()
     weighted.unpersist()
-    return materialized
+    return sized
 
 
 @dataclass

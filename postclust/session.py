@@ -73,9 +73,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     With a shared checkpoint folder the rows are written there (reliable
     checkpoint), so losing an executor only re-reads the checkpoint files rather
-    than recomputing the scans and joins above. Without one, the rows are
-    persisted in memory and on disk; a lost block is then recomputed from the
-    (deterministic) lineage.
+    than recomputing the scans and joins above; the returned DataFrame reads
+    those files. Without one, the rows are persisted in memory and on disk, and
+    a lost block is recomputed from the (deterministic) lineage.
     """
     spark = df.sparkSession
     persisted = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -84,6 +84,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         # of computing the plan a second time
         checkpointed = persisted.checkpoint(eager=True)
         persisted.unpersist()
-        return checkpointed.persist(StorageLevel.MEMORY_AND_DISK)
+        return checkpointed
     persisted.count()
     return persisted

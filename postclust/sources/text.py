@@ -47,39 +47,53 @@ def _is_int(text: Column, sql_type: str) -> Column:
     return text.rlike(INT_PATTERN) & text.try_cast(sql_type).isNotNull()
 
 
-def _fields(value: Column):
+def _split_fields(lines: DataFrame, value: Column) -> DataFrame:
+    """``(value, parts, no_field)``: the line cut into fields once.
+
+    ``parts`` is a separate projection that later expressions reference many
+    times; Catalyst keeps such a non-trivial, shared expression in its own
+    projection instead of inlining a copy into every reference.
+    """
     trimmed = F.regexp_replace(value, TRAILING_EMPTY, "")
-    parts = F.split(trimmed, FIELD_SEPARATOR, -1)
-    # a line made of separators only has no field at all
-    no_field = (F.length(trimmed) == 0) & (F.length(value) > 0)
-    return parts, no_field
+    return lines.select(
+        value.alias("value"),
+        F.split(trimmed, FIELD_SEPARATOR, -1).alias("parts"),
+        # a line made of separators only has no field at all
+        ((F.length(trimmed) == 0) & (F.length(value) > 0)).alias("no_field"),
+    )
 
 
-def bad_reason(value: Column) -> Column:
+def bad_reason(parts: Column, no_field: Column) -> Column:
     """Why a line is not a posting, or NULL for a good line.
 
     Fields are checked in order; the first failure is reported, as a
     field-by-field constructor would fail.
     """
-    parts, no_field = _fields(value)
-    f = [_field(parts, i) for i in range(5)]
     optional_bad = lambda s: (s != "") & ~_is_int(s, "bigint")
-    return (
-        F.when(no_field | f[0].isNull(), F.lit("posting_type: missing"))
-        .when(~_is_int(f[0], "int"), F.lit("posting_type: not an int"))
-        .when(f[1].isNull(), F.lit("id: missing"))
-        .when(~_is_int(f[1], "bigint"), F.lit("id: not an int"))
-        .when(f[2].isNull(), F.lit("accepted_answer: missing"))
-        .when(optional_bad(f[2]), F.lit("accepted_answer: not an int"))
-        .when(f[3].isNull(), F.lit("parent_id: missing"))
-        .when(optional_bad(f[3]), F.lit("parent_id: not an int"))
-        .when(f[4].isNull(), F.lit("score: missing"))
-        .when(~_is_int(f[4], "int"), F.lit("score: not an int"))
-    )
-
 
-def _typed_fields(value: Column) -> list[Column]:
-    parts, _ = _fields(value)
+    def check(p: Column) -> Column:
+        f = [_field(p, i) for i in range(5)]
+        return (
+            F.when(no_field | f[0].isNull(), F.lit("posting_type: missing"))
+            .when(~_is_int(f[0], "int"), F.lit("posting_type: not an int"))
+            .when(f[1].isNull(), F.lit("id: missing"))
+            .when(~_is_int(f[1], "bigint"), F.lit("id: not an int"))
+            .when(f[2].isNull(), F.lit("accepted_answer: missing"))
+            .when(optional_bad(f[2]), F.lit("accepted_answer: not an int"))
+            .when(f[3].isNull(), F.lit("parent_id: missing"))
+            .when(optional_bad(f[3]), F.lit("parent_id: not an int"))
+            .when(f[4].isNull(), F.lit("score: missing"))
+            .when(~_is_int(f[4], "int"), F.lit("score: not an int"))
+        )
+
+    # ``parts`` is bound once, as the lambda variable of a one-element
+    # ``transform``: a filter on the reason is pushed below the projection
+    # that computes ``parts`` and would otherwise inline the split once per
+    # field reference, growing the generated method past what the JIT compiles.
+    return F.get(F.transform(F.array(parts), check), 0)
+
+
+def _typed_fields(parts: Column) -> list[Column]:
     opt = lambda s: F.when(s != "", s.try_cast("bigint"))
     return [
         _field(parts, 0).try_cast("int").alias("posting_type"),
@@ -106,9 +120,10 @@ def parse_postings(lines: DataFrame, mode: str = "failfast", value_col: str = "v
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    value = F.col(value_col)
-    reason = bad_reason(value)
-    typed = _typed_fields(value)
+    split = _split_fields(lines, F.col(value_col))
+    parts, value = F.col("parts"), F.col("value")
+    reason = bad_reason(parts, F.col("no_field"))
+    typed = _typed_fields(parts)
     if mode == "failfast":
         guard = F.raise_error(F.concat(F.lit("bad posting line ("), reason, F.lit("): "), value))
         # the guard sits in the always-needed columns, so column pruning
@@ -118,8 +133,8 @@ def parse_postings(lines: DataFrame, mode: str = "failfast", value_col: str = "v
             if c.name in ("posting_type", "id") else e
             for c, e in zip(POSTING_SCHEMA.fields, typed)
         ]
-        return ParsedLines(lines.select(*guarded), None)
-    with_reason = lines.select(value.alias("value"), reason.alias("reason"), *typed)
+        return ParsedLines(split.select(*guarded), None)
+    with_reason = split.select(value, reason.alias("reason"), *typed)
     good = with_reason.filter(F.col("reason").isNull()).select(*POSTING_COLUMNS)
     bad = with_reason.filter(F.col("reason").isNotNull()).select("value", "reason") if mode == "quarantine" else None
     return ParsedLines(good, bad)

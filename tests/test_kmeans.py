@@ -131,3 +131,22 @@ def test_weighted_summary_equals_unweighted(spark):
     a = sorted(map(tuple, summarize_clusters(lang_stats_of_assigned(assigned), PARAMS).collect()))
     b = sorted(map(tuple, summarize_clusters(lang_stats_of_assigned(weighted), PARAMS).collect()))
     assert a == b
+
+
+def test_step_matches_grouped_means(spark, sf_small):
+    from postclust.operators.kmeans import cluster_means
+    from postclust.operators.sampling import initial_centers
+    from postclust.plans.analysis import prepare_points
+    from postclust.plans.catalog import WIDE, _vectors
+
+    vec = _vectors(spark, sf_small, WIDE)
+    init = initial_centers(vec, WIDE)
+    pts = prepare_points(vec)
+    grouped = {r["cid"]: (r["mx"], r["my"]) for r in cluster_means(pts, init).collect()}
+    stepped = kmeans_step(pts, init)
+    assert [(c, *grouped.get(c, (x, y))) for c, x, y in init] == stepped
+    # one-partition points: the step is a single stage without exchange
+    from postclust.functions.geometry import nearest_center_sql
+    plan = pts.selectExpr("x", "y", "n", f"{nearest_center_sql('x', 'y', init)} AS cid") \
+        .agg({"n": "sum"})._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
