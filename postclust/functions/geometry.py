@@ -2,9 +2,9 @@
 
 Centers are at most ``kernels`` rows held by the driver (a parameter, not a
 function of the data size), so they enter the plan as literals and the
-nearest-center search is one ``least`` over ``(distance, cid)`` structs per
-row: no join, no shuffle, no UDF, and it compiles into the same whole-stage
-code span as the scan and the partial aggregate that follow.
+nearest-center search is one array of distances and its first minimum per row:
+no join, no shuffle, no UDF, and it compiles into the same whole-stage code
+span as the scan and the partial aggregate that follow.
 
 The expression is emitted as SQL text: one call to the JVM, instead of
 hundreds of small column-building calls per fit iteration.
@@ -30,29 +30,33 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _sq_distance_sql(x: str, y: str, mx: int, my: int) -> str:
-    dx = f"(CAST({x} AS DOUBLE) - {float(mx)!r}D)"
-    dy = f"(CAST({y} AS DOUBLE) - {float(my)!r}D)"
+def _sq_distance_sql(xd: str, yd: str, mx: int, my: int) -> str:
+    dx = f"({xd} - {float(mx)!r}D)"
+    dy = f"({yd} - {float(my)!r}D)"
     return f"{dx} * {dx} + {dy} * {dy}"
 
 
 def nearest_center_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> str:
-    """SQL text of V2 over the columns named ``x`` and ``y``."""
+    """SQL text of V2 over the columns named ``x`` and ``y``.
+
+    The distances form one array; the first position of its minimum is the
+    nearest center, so equal distances go to the earlier (lower) cid.
+    """
     if not centers:
         raise ValueError("at least one center is needed")
-    qx, qy = _quote(x), _quote(y)
-    parts = [
-        f"named_struct('d', {_sq_distance_sql(qx, qy, int(mx), int(my))}, 'cid', {int(cid)})"
-        for cid, mx, my in centers
-    ]
-    if len(parts) == 1:
-        return f"{parts[0]}.cid"
-    return "least(" + ", ".join(parts) + ").cid"
+    xd, yd = f"CAST({_quote(x)} AS DOUBLE)", f"CAST({_quote(y)} AS DOUBLE)"
+    dists = "array(" + ", ".join(_sq_distance_sql(xd, yd, int(mx), int(my)) for _, mx, my in centers) + ")"
+    pos = f"array_position({dists}, array_min({dists}))"
+    cids = [int(c) for c, _, _ in centers]
+    if cids == list(range(len(cids))):
+        return f"CAST({pos} - 1 AS INT)"
+    if sorted(cids) != cids:
+        raise ValueError("centers must be listed in increasing cid order")
+    return f"element_at(array({', '.join(map(str, cids))}), CAST({pos} AS INT))"
 
 
 def nearest_center(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> Column:
-    """V2: cid of the closest center; equal distances go to the lowest cid
-    (structs compare field by field: distance, then cid)."""
+    """V2: cid of the closest center; equal distances go to the lowest cid."""
     return F.expr(nearest_center_sql(x, y, centers))
 
 

@@ -15,6 +15,8 @@ centers are returned either way.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,29 +62,51 @@ def _centroid_sql(cid: int, weight: str) -> str:
     return f"named_struct('mx', CAST({sx} div {n} AS INT), 'my', CAST({sy} div {n} AS INT))"
 
 
-def step_means(points: DataFrame, centers: Centers) -> list:
+@contextmanager
+def points_view(points: DataFrame):
+    """Register the points as a uniquely named temp view for the fit steps."""
+    name = f"postclust_points_{uuid.uuid4().hex[:16]}"
+    points.createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        points.sparkSession.catalog.dropTempView(name)
+
+
+def step_means(points: DataFrame, centers: Centers, view: str) -> list:
     """A4 + A5 as one global aggregate: element i is the integer centroid of
     the points nearest to center i (NULL fields when none is).
 
     Same result as ``cluster_means`` but a single result row: each task folds
     its points into k partial sums, and a points table held in one partition
-    needs no exchange at all, so one iteration is one short stage.
+    needs no exchange at all, so one iteration is one short stage. The step is
+    a single SQL statement over the registered points view, so building it
+    costs one call into the JVM.
     """
     weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
-    assigned = points.selectExpr("x", "y", f"{weight} AS n", f"{nearest_center_sql('x', 'y', centers)} AS cid")
     means = "array(" + ", ".join(_centroid_sql(int(cid), "n") for cid, _, _ in centers) + ")"
-    return assigned.agg(F.expr(means).alias("m")).collect()[0]["m"]
+    query = (
+        f"SELECT {means} AS m FROM ("
+        f"SELECT x, y, {weight} AS n, {nearest_center_sql('x', 'y', centers)} AS cid FROM {view})"
+    )
+    return points.sparkSession.sql(query).collect()[0]["m"]
 
 
-def kmeans_step(points: DataFrame, centers: Centers) -> Centers:
-    """K1: one update; empty clusters keep their previous center."""
-    means = step_means(points, centers)
+def _overlay(centers: Centers, means: list) -> Centers:
     return [
         (cid, m["mx"], m["my"]) if m["mx"] is not None else (cid, x, y)
         for (cid, x, y), m in zip(centers, means)
     ]
 
 
+def kmeans_step(points: DataFrame, centers: Centers, view: str | None = None) -> Centers:
+    """K1: one update; empty clusters keep their previous center."""
+    if view is not None:
+        return _overlay(centers, step_means(points, centers, view))
+    with points_view(points) as name:
+        return _overlay(centers, step_means(points, centers, name))
+
+
 def converged(shift: float, params: Params) -> bool:
     """V4: strict test on the total squared shift."""
     return shift < params.eta
@@ -119,16 +143,17 @@ def fit(points: DataFrame, init: Centers, params: Params) -> FitResult:
     centers = [(int(c), int(x), int(y)) for c, x, y in init]
     trace: list[tuple] = []
     it = 0
-    while True:
-        it += 1
-        new = kmeans_step(points, centers)
-        shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
-        done = converged(shift, params)
-        for (cid, ox, oy), (_, nx, ny) in zip(centers, new):
-            trace.append((it, cid, ox, oy, nx, ny, point_shift((ox, oy), (nx, ny)), shift, done))
-        centers = new
-        if done or it >= params.max_iterations:
-            return FitResult(centers, it, done, shift, trace)
+    with points_view(points) as view:
+        while True:
+            it += 1
+            new = kmeans_step(points, centers, view)
+            shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
+            done = converged(shift, params)
+            for (cid, ox, oy), (_, nx, ny) in zip(centers, new):
+                trace.append((it, cid, ox, oy, nx, ny, point_shift((ox, oy), (nx, ny)), shift, done))
+            centers = new
+            if done or it >= params.max_iterations:
+                return FitResult(centers, it, done, shift, trace)
 
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:

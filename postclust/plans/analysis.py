@@ -71,8 +71,10 @@ class Analysis:
         self.points.unpersist()
 
 
-def run_analysis(postings: DataFrame, params: Params, expect_rows: int | None = None) -> Analysis:
-    vectors = vectorize(score_questions(postings), params).persist(StorageLevel.MEMORY_AND_DISK)
+def seed_and_points(vectors: DataFrame, params: Params, expect_rows: int | None = None) -> tuple[Centers, DataFrame]:
+    """Seed centers and materialized weighted points from one pass over the
+    (persisted) vectors; the vectors are released afterwards."""
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if expect_rows is not None:  # C6
             n = vectors.count()
@@ -82,6 +84,18 @@ def run_analysis(postings: DataFrame, params: Params, expect_rows: int | None =
         points = prepare_points(vectors)
     finally:
         vectors.unpersist()
-    result = fit(points, init, params)
+    return init, points
+
+
+def fit_vectors(vectors: DataFrame, params: Params, expect_rows: int | None = None) -> tuple[DataFrame, Centers, FitResult]:
+    """Seeded fit (K2) over vectors: ``(points, init, result)``."""
+    init, points = seed_and_points(vectors, params, expect_rows)
+    return points, init, fit(points, init, params)
+
+
+def run_analysis(postings: DataFrame, params: Params, expect_rows: int | None = None) -> Analysis:
+    """K5: the whole analysis from postings to the ordered cluster summary."""
+    vectors = vectorize(score_questions(postings), params)
+    points, init, result = fit_vectors(vectors, params, expect_rows)
     summary = cluster_results(points, result.centers, params)
     return Analysis(points, init, result, summary)

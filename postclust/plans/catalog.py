@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postclust.operators import joins, postings as post
-from postclust.operators.kmeans import assign, centers_frame, fit, kmeans_step, trace_frame
+from postclust.operators.kmeans import assign, centers_frame, kmeans_step, trace_frame
 from postclust.operators.sampling import initial_centers, seed_sample
 from postclust.operators.scoring import score_questions
-from postclust.operators.summary import cluster_lang_stats, cluster_results
+from postclust.operators.summary import cluster_lang_stats
 from postclust.operators.vectors import vectorize, weigh_points, with_labels
 from postclust.params import Params
-from postclust.plans.analysis import prepare_points, run_analysis
+from postclust.plans.analysis import fit_vectors, run_analysis, seed_and_points
 from postclust.sources.report import report_lines
 from postclust.sources.tables import PRIORITY_LANGS, TABLE_PARAMS, postings_from_tables, read_table
 from postclust.sources.text import parse_postings, render_lines, text_lines
@@ -117,9 +117,9 @@ def q_assign(spark, sf_dir):
 
 
 def _step_centers(spark, sf_dir):
-    vectors, init = _seeded(spark, sf_dir, WIDE)
+    init, points = seed_and_points(_vectors(spark, sf_dir, WIDE), WIDE)
     start = init + [(len(init), *FAR_CENTER)]
-    return start, kmeans_step(prepare_points(vectors), start)
+    return start, kmeans_step(points, start)
 
 
 def q_kmeans_step(spark, sf_dir):
@@ -138,9 +138,8 @@ def q_center_shift(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, params):
-    vectors, init = _seeded(spark, sf_dir, params)
-    points = prepare_points(vectors)
-    return points, fit(points, init, params)
+    points, _, result = fit_vectors(_vectors(spark, sf_dir, params), params)
+    return points, result
 
 
 def q_kmeans_fit_wide(spark, sf_dir):

@@ -33,8 +33,12 @@ def test_equal_distance_goes_to_lowest_cid(spark):
     assert assign(spark.createDataFrame([(0, 0)], "x INT, y INT"), centers).collect()[0]["cid"] == 0
 
 
-def test_single_center_expression():
-    assert "least" not in nearest_center_sql("x", "y", [(0, 1, 2)])
+def test_non_contiguous_cids(spark):
+    pts = spark.createDataFrame([(0, 0), (10, 0)], "x INT, y INT")
+    got = sorted(r["cid"] for r in assign(pts, [(3, 0, 0), (7, 10, 0)]).collect())
+    assert got == [3, 7]
+    with pytest.raises(ValueError):
+        nearest_center_sql("x", "y", [(7, 10, 0), (3, 0, 0)])
 
 
 def test_fit_from_fixture_means(vectors):
