@@ -55,13 +55,6 @@ def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
     )
 
 
-def _centroid_sql(cid: int, weight: str) -> str:
-    n = f"sum(CASE WHEN cid = {cid} THEN {weight} END)"
-    sx = f"sum(CASE WHEN cid = {cid} THEN CAST(x AS BIGINT) * {weight} END)"
-    sy = f"sum(CASE WHEN cid = {cid} THEN CAST(y AS BIGINT) * {weight} END)"
-    return f"named_struct('mx', CAST({sx} div {n} AS INT), 'my', CAST({sy} div {n} AS INT))"
-
-
 @contextmanager
 def points_view(points: DataFrame):
     """Register the points as a uniquely named temp view for the fit steps."""
@@ -73,38 +66,31 @@ def points_view(points: DataFrame):
         points.sparkSession.catalog.dropTempView(name)
 
 
-def step_means(points: DataFrame, centers: Centers, view: str) -> list:
-    """A4 + A5 as one global aggregate: element i is the integer centroid of
-    the points nearest to center i (NULL fields when none is).
+def step_means(points: DataFrame, centers: Centers, view: str) -> dict[int, tuple[int, int]]:
+    """A4 + A5 for one step: ``{cid: (mx, my)}`` of every non-empty cluster.
 
-    Same result as ``cluster_means`` but a single result row: each task folds
-    its points into k partial sums, and a points table held in one partition
-    needs no exchange at all, so one iteration is one short stage. The step is
-    a single SQL statement over the registered points view, so building it
-    costs one call into the JVM.
+    One SQL statement over the registered points view (one call into the JVM
+    to build it). A points table cached as a single partition already
+    satisfies the grouping, so the step is one stage without exchange; a
+    larger one sends at most k partial rows per task.
     """
     weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
-    means = "array(" + ", ".join(_centroid_sql(int(cid), "n") for cid, _, _ in centers) + ")"
     query = (
-        f"SELECT {means} AS m FROM ("
-        f"SELECT x, y, {weight} AS n, {nearest_center_sql('x', 'y', centers)} AS cid FROM {view})"
+        "SELECT cid, CAST(sum(CAST(x AS BIGINT) * n) div sum(n) AS INT) AS mx, "
+        "CAST(sum(CAST(y AS BIGINT) * n) div sum(n) AS INT) AS my FROM ("
+        f"SELECT x, y, {weight} AS n, {nearest_center_sql('x', 'y', centers)} AS cid FROM {view}) "
+        "GROUP BY cid"
     )
-    return points.sparkSession.sql(query).collect()[0]["m"]
-
-
-def _overlay(centers: Centers, means: list) -> Centers:
-    return [
-        (cid, m["mx"], m["my"]) if m["mx"] is not None else (cid, x, y)
-        for (cid, x, y), m in zip(centers, means)
-    ]
+    return {r["cid"]: (r["mx"], r["my"]) for r in points.sparkSession.sql(query).collect()}
 
 
 def kmeans_step(points: DataFrame, centers: Centers, view: str | None = None) -> Centers:
     """K1: one update; empty clusters keep their previous center."""
-    if view is not None:
-        return _overlay(centers, step_means(points, centers, view))
-    with points_view(points) as name:
-        return _overlay(centers, step_means(points, centers, name))
+    if view is None:
+        with points_view(points) as name:
+            return kmeans_step(points, centers, name)
+    moved = step_means(points, centers, view)
+    return [(cid, *moved.get(cid, (x, y))) for cid, x, y in centers]
 
 
 def converged(shift: float, params: Params) -> bool:

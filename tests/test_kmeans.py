@@ -152,5 +152,5 @@ def test_step_matches_grouped_means(spark, sf_small):
     # one-partition points: the step is a single stage without exchange
     from postclust.functions.geometry import nearest_center_sql
     plan = pts.selectExpr("x", "y", "n", f"{nearest_center_sql('x', 'y', init)} AS cid") \
-        .agg({"n": "sum"})._jdf.queryExecution().executedPlan().toString()
+        .groupBy("cid").agg({"n": "sum"})._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
