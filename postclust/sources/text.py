@@ -69,28 +69,20 @@ def bad_reason(parts: Column, no_field: Column) -> Column:
     Fields are checked in order; the first failure is reported, as a
     field-by-field constructor would fail.
     """
+    f = [_field(parts, i) for i in range(5)]
     optional_bad = lambda s: (s != "") & ~_is_int(s, "bigint")
-
-    def check(p: Column) -> Column:
-        f = [_field(p, i) for i in range(5)]
-        return (
-            F.when(no_field | f[0].isNull(), F.lit("posting_type: missing"))
-            .when(~_is_int(f[0], "int"), F.lit("posting_type: not an int"))
-            .when(f[1].isNull(), F.lit("id: missing"))
-            .when(~_is_int(f[1], "bigint"), F.lit("id: not an int"))
-            .when(f[2].isNull(), F.lit("accepted_answer: missing"))
-            .when(optional_bad(f[2]), F.lit("accepted_answer: not an int"))
-            .when(f[3].isNull(), F.lit("parent_id: missing"))
-            .when(optional_bad(f[3]), F.lit("parent_id: not an int"))
-            .when(f[4].isNull(), F.lit("score: missing"))
-            .when(~_is_int(f[4], "int"), F.lit("score: not an int"))
-        )
-
-    # ``parts`` is bound once, as the lambda variable of a one-element
-    # ``transform``: a filter on the reason is pushed below the projection
-    # that computes ``parts`` and would otherwise inline the split once per
-    # field reference, growing the generated method past what the JIT compiles.
-    return F.get(F.transform(F.array(parts), check), 0)
+    return (
+        F.when(no_field | f[0].isNull(), F.lit("posting_type: missing"))
+        .when(~_is_int(f[0], "int"), F.lit("posting_type: not an int"))
+        .when(f[1].isNull(), F.lit("id: missing"))
+        .when(~_is_int(f[1], "bigint"), F.lit("id: not an int"))
+        .when(f[2].isNull(), F.lit("accepted_answer: missing"))
+        .when(optional_bad(f[2]), F.lit("accepted_answer: not an int"))
+        .when(f[3].isNull(), F.lit("parent_id: missing"))
+        .when(optional_bad(f[3]), F.lit("parent_id: not an int"))
+        .when(f[4].isNull(), F.lit("score: missing"))
+        .when(~_is_int(f[4], "int"), F.lit("score: not an int"))
+    )
 
 
 def _typed_fields(parts: Column) -> list[Column]:
@@ -122,21 +114,25 @@ def parse_postings(lines: DataFrame, mode: str = "failfast", value_col: str = "v
         raise ValueError(f"mode must be one of {MODES}")
     split = _split_fields(lines, F.col(value_col))
     parts, value = F.col("parts"), F.col("value")
-    reason = bad_reason(parts, F.col("no_field"))
-    typed = _typed_fields(parts)
+    record = F.struct(value, bad_reason(parts, F.col("no_field")).alias("reason"), *_typed_fields(parts))
+    # One parsed record per line, emitted by a generator: filters on the
+    # result (the bad-record split, or a caller's ``posting_type = 2``) are not
+    # pushed below a generator, so the field checks are compiled once per line
+    # instead of being inlined into every pushed-down predicate.
+    parsed = split.select(F.inline(F.array(record)))
+    reason = F.col("reason")
     if mode == "failfast":
         guard = F.raise_error(F.concat(F.lit("bad posting line ("), reason, F.lit("): "), value))
         # the guard sits in the always-needed columns, so column pruning
         # cannot drop the check
         guarded = [
-            F.when(reason.isNotNull(), guard.cast(c.dataType)).otherwise(e).alias(c.name)
-            if c.name in ("posting_type", "id") else e
-            for c, e in zip(POSTING_SCHEMA.fields, typed)
+            F.when(reason.isNotNull(), guard.cast(c.dataType)).otherwise(F.col(c.name)).alias(c.name)
+            if c.name in ("posting_type", "id") else F.col(c.name)
+            for c in POSTING_SCHEMA.fields
         ]
-        return ParsedLines(split.select(*guarded), None)
-    with_reason = split.select(value, reason.alias("reason"), *typed)
-    good = with_reason.filter(F.col("reason").isNull()).select(*POSTING_COLUMNS)
-    bad = with_reason.filter(F.col("reason").isNotNull()).select("value", "reason") if mode == "quarantine" else None
+        return ParsedLines(parsed.select(*guarded), None)
+    good = parsed.filter(reason.isNull()).select(*POSTING_COLUMNS)
+    bad = parsed.filter(reason.isNotNull()).select("value", "reason") if mode == "quarantine" else None
     return ParsedLines(good, bad)
 
 
