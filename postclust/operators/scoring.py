@@ -1,9 +1,9 @@
 """Best answer score per question (A2, A3).
 
 The answers are reduced to their maximum score per question *before* the join
-(partial max per task, then one shuffle on the key), so the answer side of the
-join is unique per key and already hash-partitioned on it: however many
-answers a question has, it contributes one row to the join.
+(partial max per task, then one shuffle on the key), and the questions to one
+row per id, so however many answers (or copies) a question has, it contributes
+one row per side to the join.
 """
 
 from __future__ import annotations
@@ -29,15 +29,12 @@ def unique_questions(postings: DataFrame) -> DataFrame:
 def score_questions(postings: DataFrame) -> DataFrame:
     """A3: ``(question_id, tags, high_score)`` for every answered question.
 
-    The questions join the per-question best scores first and fold duplicate
-    ids afterwards: with a sort-merge join the join output is already
-    partitioned and sorted by ``question_id``, so the fold (a sort-based
-    aggregate, as the tag is a string) needs neither an exchange nor a sort,
-    and the question rows are shuffled and sorted once.
+    Both sides are reduced to one row per question id before the join. The
+    question side folds duplicate ids with a partial aggregate per task, so
+    even an id whose copies make up a large share of all questions crosses the
+    shuffle as one row per task (the fold sorts locally, as ``min`` over a
+    string is a sort-based aggregate). Both join inputs come out unique per key
+    and partitioned and sorted on it, so the join adds no exchange, no sort,
+    and no key can be hot.
     """
-    q = questions(postings).select("question_id", "tags")
-    return (
-        q.join(best_answer_scores(postings), "question_id", "inner")
-        .groupBy("question_id")
-        .agg(F.min("tags").alias("tags"), F.max("high_score").alias("high_score"))
-    )
+    return unique_questions(postings).join(best_answer_scores(postings), "question_id", "inner")

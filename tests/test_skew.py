@@ -57,3 +57,17 @@ def test_scores_with_hot_question(skewed):
     assert scored[1] == 96 and len(scored) == 200
     counts = {r["question_id"]: r["n_pairs"] for r in joins.grouped_counts(skewed).collect()}
     assert counts[1] == HOT_ANSWERS
+
+
+def test_hot_copies_of_one_question(spark):
+    copies = [(1, 7, None, None, 0, "Java")] * 5000
+    rest = [(1, q, None, None, 0, "Scala") for q in range(8, 60)]
+    answers = [(2, 1000 + q, None, q, q, None) for q in range(7, 60)]
+    postings = spark.createDataFrame(copies + rest + answers, POSTING_SCHEMA).repartition(8)
+    scored = {r["question_id"]: (r["tags"], r["high_score"]) for r in score_questions(postings).collect()}
+    assert scored[7] == ("Java", 7) and len(scored) == 53
+    plan = score_questions(postings)._jdf.queryExecution().executedPlan().toString()
+    # the question copies are folded by a partial aggregate before any exchange
+    assert "partial_min" in plan
+    counts = {r["question_id"]: r["n_pairs"] for r in joins.grouped_counts(postings).collect()}
+    assert counts[7] == 5000
