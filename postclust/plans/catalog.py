@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postclust.operators import joins, postings as post
 from postclust.operators.kmeans import assign, centers_frame, kmeans_step, trace_frame
-from postclust.operators.sampling import initial_centers, seed_sample
+from postclust.operators.sampling import initial_centers, sample_fraction, seed_sample
 from postclust.operators.scoring import score_questions
 from postclust.operators.summary import cluster_lang_stats
 from postclust.operators.vectors import vectorize, weigh_points, with_labels
@@ -106,6 +106,12 @@ def q_sample_global(spark, sf_dir):
     return seed_sample(_vectors(spark, sf_dir, NARROW), NARROW)
 
 
+def q_sample_bernoulli(spark, sf_dir):
+    """10 % sample with replacement (seed 0) of the vectors; random by
+    design, so it has no oracle SQL (rows-only check)."""
+    return sample_fraction(_vectors(spark, sf_dir, WIDE), 0.1, with_replacement=True, seed=0)
+
+
 def _seeded(spark, sf_dir, params):
     vectors = _vectors(spark, sf_dir, params)
     return vectors, initial_centers(vectors, params)
@@ -189,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "q_weighted_points": q_weighted_points,
     "q_sample_per_language": q_sample_per_language,
     "q_sample_global": q_sample_global,
+    "q_sample_bernoulli": q_sample_bernoulli,
     "q_assign": q_assign,
     "q_kmeans_step": q_kmeans_step,
     "q_center_shift": q_center_shift,

@@ -3,7 +3,8 @@
 Each statement computes the same result as the Spark query from the same
 tables, written independently as plain SQL: the k-means fit is a recursive
 CTE, the seed sample a ``row_number`` over the same md5 keys, the median a
-``median`` over all rows of a group. Column names and types follow the Spark
+``median`` over all rows of a group. ``q_sample_bernoulli`` has none, as it is
+random by design. Column names and types follow the Spark
 results (sums are cast back to BIGINT, DuckDB's ``//`` truncates toward zero
 like Spark's ``div``).
 """

@@ -33,3 +33,9 @@ def report_lines(summary: DataFrame) -> DataFrame:
         F.format_string(REPORT_ROW_FORMAT, "median_score", "lang", "pct", "size").alias("line"),
     )
     return header.unionByName(body)
+
+
+def print_report(summary: DataFrame) -> None:
+    """Console sink: print the report lines (at most ``kernels`` + 3 rows)."""
+    for row in report_lines(summary).orderBy("line_no").collect():
+        print(row["line"])

@@ -50,3 +50,11 @@ def test_report_layout(analysis):
     body = lines[3:]
     assert len(body) == analysis.summary.count()
     assert all(len(l.split("(")[0]) == 27 and "%)" in l for l in body)
+
+
+def test_print_report(analysis, capsys):
+    from postclust.sources.report import print_report
+
+    print_report(analysis.summary)
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "Resulting clusters:" and len(out) == 3 + analysis.summary.count()
