@@ -29,6 +29,7 @@ from postclust.sources.text import parse_postings, render_lines, text_lines
 WIDE = TABLE_PARAMS                         # spread 50000: one language per cluster, W1 seed
 NARROW = TABLE_PARAMS.replace(spread=100)   # spread 100: mixed clusters, W2 seed
 UNKNOWN = TABLE_PARAMS.replace(langs=tuple(l for l in PRIORITY_LANGS if l != "3-MEDIUM"), kernels=12)
+KNOWN_ONLY = UNKNOWN.replace(drop_unknown=True)  # unknown-language questions left out of the fit
 FAR_CENTER = (1_000_000, 1_000_000)         # extra center no point is near (stays empty)
 # -----------------------------------------------------------------------------
 
@@ -176,6 +177,10 @@ def q_cluster_summary_narrow(spark, sf_dir):
     return run_analysis(_postings(spark, sf_dir), NARROW).summary
 
 
+def q_cluster_summary_known(spark, sf_dir):
+    return run_analysis(_postings(spark, sf_dir), KNOWN_ONLY).summary
+
+
 def q_report(spark, sf_dir):
     return report_lines(run_analysis(_postings(spark, sf_dir), NARROW).summary)
 
@@ -205,5 +210,6 @@ QUERIES: dict[str, Query] = {
     "q_cluster_lang_counts": q_cluster_lang_counts,
     "q_cluster_summary": q_cluster_summary,
     "q_cluster_summary_narrow": q_cluster_summary_narrow,
+    "q_cluster_summary_known": q_cluster_summary_known,
     "q_report": q_report,
 }

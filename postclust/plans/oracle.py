@@ -12,7 +12,7 @@ like Spark's ``div``).
 from __future__ import annotations
 
 from postclust.params import Params
-from postclust.plans.catalog import FAR_CENTER, NARROW, UNKNOWN, WIDE
+from postclust.plans.catalog import FAR_CENTER, KNOWN_ONLY, NARROW, UNKNOWN, WIDE
 from postclust.sources.report import REPORT_HEADER, REPORT_ROW_FORMAT
 
 
@@ -51,8 +51,10 @@ def _vec(params: Params) -> str:
     return f"""
 {_langs_values(params)},
 vec AS (
-  SELECT s.question_id, CAST(coalesce(l.idx * {params.spread}, -1) AS INTEGER) AS x, s.high_score AS y
-  FROM scored s LEFT JOIN langs l ON s.tags = l.lang),
+  SELECT * FROM (
+    SELECT s.question_id, CAST(coalesce(l.idx * {params.spread}, -1) AS INTEGER) AS x, s.high_score AS y
+    FROM scored s LEFT JOIN langs l ON s.tags = l.lang)
+  {"WHERE x <> -1" if params.drop_unknown else ""}),
 w AS (SELECT x, y, CAST(count(*) AS BIGINT) AS n FROM vec GROUP BY x, y)"""
 
 
@@ -265,5 +267,8 @@ FROM km k JOIN km p ON p.it = k.it - 1 AND p.cid = k.cid""",
         + "\nSELECT cid, lang, pct, size, median_score FROM summary",
         "q_cluster_summary_narrow": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
         + "\nSELECT cid, lang, pct, size, median_score FROM summary",
+        "q_cluster_summary_known": _with(POSTINGS, _vec(KNOWN_ONLY), _seed(KNOWN_ONLY), _fit(KNOWN_ONLY),
+                                         _summary_ctes(KNOWN_ONLY))
+        + "\nSELECT cid, lang, pct, size, median_score FROM summary",
         "q_report": _report_sql(NARROW),
     }
