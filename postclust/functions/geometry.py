@@ -55,6 +55,25 @@ def nearest_center_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]])
     return f"element_at(array({', '.join(map(str, cids))}), CAST({pos} AS INT))"
 
 
+def nearest_center_interpreted_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> str:
+    """Same result as ``nearest_center_sql``, as ``array_min`` over a
+    ``transform`` of one literal array of centers.
+
+    The array literal reaches generated code by reference and the lambda runs
+    interpreted, so the generated code is the same whatever the center
+    positions: a fit loop compiles it once instead of once per iteration, at a
+    higher cost per row. Structs compare by distance, then cid.
+    """
+    if not centers:
+        raise ValueError("at least one center is needed")
+    xd, yd = f"CAST({_quote(x)} AS DOUBLE)", f"CAST({_quote(y)} AS DOUBLE)"
+    cs = "array(" + ", ".join(
+        f"named_struct('cid', {int(cid)}, 'mx', {float(mx)!r}D, 'my', {float(my)!r}D)" for cid, mx, my in centers
+    ) + ")"
+    d = f"({xd} - c.mx) * ({xd} - c.mx) + ({yd} - c.my) * ({yd} - c.my)"
+    return f"array_min(transform({cs}, c -> named_struct('d', {d}, 'cid', c.cid))).cid"
+
+
 def nearest_center(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> Column:
     """V2: cid of the closest center; equal distances go to the lowest cid."""
     return F.expr(nearest_center_sql(x, y, centers))

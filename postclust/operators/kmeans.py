@@ -24,11 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postclust.functions.arith import int_div
-from postclust.functions.geometry import nearest_center, nearest_center_sql, point_shift, total_shift
+from postclust.functions.geometry import (
+    nearest_center, nearest_center_interpreted_sql, nearest_center_sql, point_shift, total_shift,
+)
 from postclust.params import Params
 
 Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
 
+# Rows x centers up to which a fit runs its nearest-center search interpreted
+# (generated code reused across steps) instead of compiled per step.
+INTERPRETED_SEARCH_MAX_WORK = 2_000_000
+
 
 def assign(points: DataFrame, centers: Centers) -> DataFrame:
     """Add ``cid``, the nearest center of every row's (x, y)."""
@@ -66,30 +72,42 @@ def points_view(points: DataFrame):
         points.sparkSession.catalog.dropTempView(name)
 
 
-def step_means(points: DataFrame, centers: Centers, view: str) -> dict[int, tuple[int, int]]:
+def step_means(points: DataFrame, centers: Centers, view: str, interpreted: bool = False) -> dict[int, tuple[int, int]]:
     """A4 + A5 for one step: ``{cid: (mx, my)}`` of every non-empty cluster.
 
     One SQL statement over the registered points view (one call into the JVM
     to build it). A points table cached as a single partition already
     satisfies the grouping, so the step is one stage without exchange; a
-    larger one sends at most k partial rows per task.
+    larger one sends at most k partial rows per task. ``interpreted`` picks the
+    nearest-center form whose generated code does not change between steps.
     """
     weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
+    near = (nearest_center_interpreted_sql if interpreted else nearest_center_sql)("x", "y", centers)
     query = (
         "SELECT cid, CAST(sum(CAST(x AS BIGINT) * n) div sum(n) AS INT) AS mx, "
         "CAST(sum(CAST(y AS BIGINT) * n) div sum(n) AS INT) AS my FROM ("
-        f"SELECT x, y, {weight} AS n, {nearest_center_sql('x', 'y', centers)} AS cid FROM {view}) "
+        f"SELECT x, y, {weight} AS n, CAST({near} AS INT) AS cid FROM {view}) "
         "GROUP BY cid"
     )
     return {r["cid"]: (r["mx"], r["my"]) for r in points.sparkSession.sql(query).collect()}
 
 
-def kmeans_step(points: DataFrame, centers: Centers, view: str | None = None) -> Centers:
+def interpreted_search(points: DataFrame, k: int) -> bool:
+    """Whether a fit over ``points`` should run the nearest-center search
+    interpreted: true while rows x centers stays small enough that compiling
+    new code every step costs more than evaluating the search row by row."""
+    return points.count() * k <= INTERPRETED_SEARCH_MAX_WORK
+
+
+def kmeans_step(points: DataFrame, centers: Centers, view: str | None = None,
+                interpreted: bool | None = None) -> Centers:
     """K1: one update; empty clusters keep their previous center."""
+    if interpreted is None:
+        interpreted = interpreted_search(points, len(centers))
     if view is None:
         with points_view(points) as name:
-            return kmeans_step(points, centers, name)
-    moved = step_means(points, centers, view)
+            return kmeans_step(points, centers, name, interpreted)
+    moved = step_means(points, centers, view, interpreted)
     return [(cid, *moved.get(cid, (x, y))) for cid, x, y in centers]
 
 
@@ -129,10 +147,11 @@ def fit(points: DataFrame, init: Centers, params: Params) -> FitResult:
     centers = [(int(c), int(x), int(y)) for c, x, y in init]
     trace: list[tuple] = []
     it = 0
+    interpreted = interpreted_search(points, len(centers))
     with points_view(points) as view:
         while True:
             it += 1
-            new = kmeans_step(points, centers, view)
+            new = kmeans_step(points, centers, view, interpreted)
             shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
             done = converged(shift, params)
             for (cid, ox, oy), (_, nx, ny) in zip(centers, new):

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import brute
+import postclust.operators.kmeans as km
 from postclust.operators.kmeans import fit
 from postclust.operators.summary import cluster_results
 from postclust.params import Params
@@ -52,9 +53,19 @@ means_st = st.lists(
 
 
 @SETTINGS
-@given(vectors_st, means_st, st.sampled_from([0.5, 20.0, 5000.0]), st.integers(min_value=1, max_value=8))
-def test_fit_and_summary_match_model(spark, vectors, means, eta, max_iterations):
+@given(vectors_st, means_st, st.sampled_from([0.5, 20.0, 5000.0]), st.integers(min_value=1, max_value=8),
+       st.booleans())
+def test_fit_and_summary_match_model(spark, vectors, means, eta, max_iterations, compiled):
     params = Params(langs=LANGS, spread=SPREAD, kernels=4, eta=eta, max_iterations=max_iterations)
+    default = km.INTERPRETED_SEARCH_MAX_WORK
+    km.INTERPRETED_SEARCH_MAX_WORK = 0 if compiled else default
+    try:
+        _check_fit(spark, vectors, means, eta, max_iterations, params)
+    finally:
+        km.INTERPRETED_SEARCH_MAX_WORK = default
+
+
+def _check_fit(spark, vectors, means, eta, max_iterations, params):
     df = spark.createDataFrame(vectors, "x INT, y INT")
     weighted = df.groupBy("x", "y").count().withColumnRenamed("count", "n")
     init = [(i, x, y) for i, (x, y) in enumerate(means)]

@@ -154,3 +154,11 @@ def test_step_matches_grouped_means(spark, sf_small):
     plan = pts.selectExpr("x", "y", "n", f"{nearest_center_sql('x', 'y', init)} AS cid") \
         .groupBy("cid").agg({"n": "sum"})._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_interpreted_and_compiled_search_agree(spark, vectors):
+    pts = weigh_points(vectors)
+    for centers in (MEANS, [(0, 50000, 50), (1, 50000, 50), (2, 200000, 150)], [(3, 0, 0), (7, 50000, 70)]):
+        a = kmeans_step(pts, centers, interpreted=True)
+        b = kmeans_step(pts, centers, interpreted=False)
+        assert a == b
