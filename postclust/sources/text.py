@@ -28,7 +28,6 @@ POSTING_COLUMNS = [f.name for f in POSTING_SCHEMA.fields]
 # --- Fixed values: line format -------------------------------------------------
 FIELD_SEPARATOR = ","
 INT_PATTERN = r"\A[+-]?[0-9]+\z"   # whole-field signed decimal integer
-TRAILING_EMPTY = r",+\z"            # trailing empty fields are not fields
 # -----------------------------------------------------------------------------
 
 MODES = ("failfast", "quarantine", "drop")
@@ -54,7 +53,7 @@ def _split_fields(lines: DataFrame, value: Column) -> DataFrame:
     times; Catalyst keeps such a non-trivial, shared expression in its own
     projection instead of inlining a copy into every reference.
     """
-    trimmed = F.regexp_replace(value, TRAILING_EMPTY, "")
+    trimmed = F.rtrim(value, F.lit(FIELD_SEPARATOR))  # trailing empty fields are not fields
     return lines.select(
         value.alias("value"),
         F.split(trimmed, FIELD_SEPARATOR, -1).alias("parts"),
@@ -85,14 +84,19 @@ def bad_reason(parts: Column, no_field: Column) -> Column:
     )
 
 
+def _as_int(text: Column, sql_type: str) -> Column:
+    # the pattern check comes first: a failing string cast is far more
+    # expensive than a regex miss, and most fields of a junk line fail
+    return F.when(text.rlike(INT_PATTERN), text.try_cast(sql_type))
+
+
 def _typed_fields(parts: Column) -> list[Column]:
-    opt = lambda s: F.when(s != "", s.try_cast("bigint"))
     return [
-        _field(parts, 0).try_cast("int").alias("posting_type"),
-        _field(parts, 1).try_cast("bigint").alias("id"),
-        opt(_field(parts, 2)).alias("accepted_answer"),
-        opt(_field(parts, 3)).alias("parent_id"),
-        _field(parts, 4).try_cast("int").alias("score"),
+        _as_int(_field(parts, 0), "int").alias("posting_type"),
+        _as_int(_field(parts, 1), "bigint").alias("id"),
+        _as_int(_field(parts, 2), "bigint").alias("accepted_answer"),
+        _as_int(_field(parts, 3), "bigint").alias("parent_id"),
+        _as_int(_field(parts, 4), "int").alias("score"),
         _field(parts, 5).alias("tags"),
     ]
 
