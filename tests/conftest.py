@@ -6,7 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from postclust.sources.text import POSTING_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -50,7 +49,9 @@ FIVE_LANGS = ("Python", "Java", "Ruby", "CSS", "Scala")
 
 @pytest.fixture(scope="session")
 def fixture_postings(spark):
-    return spark.createDataFrame(FIXTURE_POSTINGS, POSTING_SCHEMA)
+    from postclust.sources.memory import postings_from_rows
+
+    return postings_from_rows(spark, FIXTURE_POSTINGS)
 
 
 @pytest.fixture(scope="session")

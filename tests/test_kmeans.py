@@ -110,7 +110,9 @@ ASSIGNED = [
 
 
 def test_calculate_median(spark):
-    assigned = spark.createDataFrame(ASSIGNED, "cid INT, x INT, y INT")
+    from postclust.sources.memory import points_from_rows
+
+    assigned = points_from_rows(spark, ASSIGNED)
     rows = {r["cid"]: (r["lang"], r["pct"], r["size"], r["median_score"])
             for r in summarize_clusters(lang_stats_of_assigned(assigned), PARAMS).collect()}
     assert rows[1] == ("Python", 57.142857142857146, 7, 65)
