@@ -58,3 +58,23 @@ def test_print_report(analysis, capsys):
     print_report(analysis.summary)
     out = capsys.readouterr().out.splitlines()
     assert out[0] == "Resulting clusters:" and len(out) == 3 + analysis.summary.count()
+
+
+def test_multi_partition_points_give_same_fit(postings, analysis, monkeypatch):
+    import postclust.plans.analysis as plan
+
+    monkeypatch.setattr(plan, "POINTS_PER_PARTITION", 100)
+    split = run_analysis(postings, TABLE_PARAMS)
+    assert split.points.rdd.getNumPartitions() > 1
+    assert split.result.centers == analysis.result.centers
+    assert split.result.iterations == analysis.result.iterations
+    assert sorted(map(tuple, split.summary.collect())) == sorted(map(tuple, analysis.summary.collect()))
+
+
+def test_compiled_search_gives_same_fit(postings, analysis, monkeypatch):
+    import postclust.operators.kmeans as km
+
+    monkeypatch.setattr(km, "INTERPRETED_SEARCH_MAX_WORK", 0)
+    compiled = run_analysis(postings, TABLE_PARAMS)
+    assert compiled.result.centers == analysis.result.centers
+    assert compiled.result.trace == analysis.result.trace
