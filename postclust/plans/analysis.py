@@ -51,11 +51,10 @@ def prepare_points(vectors: DataFrame) -> DataFrame:
     weighted = weigh_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     rows = weighted.count()
     parts = max(1, math.ceil(rows / POINTS_PER_PARTITION))
-    cut = cut_lineage(weighted.coalesce(parts) if parts < weighted.rdd.getNumPartitions() else weighted)
+    cut = cut_lineage(weighted.coalesce(parts))  # coalesce never raises the partition count
     sized = cut.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
     sized.count()
-    if cut is not weighted:
-        cut.unpersist()
+    cut.unpersist()
     weighted.unpersist()
     return sized
 

@@ -52,20 +52,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     The folder comes from ``spark.checkpoint.dir`` as the cluster sets it; this
     library never invents a machine-local one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get(CHECKPOINT_CONF, None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get(CHECKPOINT_CONF, None)
-        except Exception:  # pragma: no cover - conf lookup failure means unset
-            conf_dir = None
-    if conf_dir:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get(CHECKPOINT_CONF, None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get(CHECKPOINT_CONF, None)
+    if conf_dir and sc is not None:
         sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    return None
+    return conf_dir or None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -78,3 +78,12 @@ def test_compiled_search_gives_same_fit(postings, analysis, monkeypatch):
     compiled = run_analysis(postings, TABLE_PARAMS)
     assert compiled.result.centers == analysis.result.centers
     assert compiled.result.trace == analysis.result.trace
+
+
+def test_without_checkpoint_folder(postings, analysis, monkeypatch):
+    import postclust.session as session
+
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: None)
+    cached = run_analysis(postings, TABLE_PARAMS)
+    assert cached.result.centers == analysis.result.centers
+    assert sorted(map(tuple, cached.summary.collect())) == sorted(map(tuple, analysis.summary.collect()))
