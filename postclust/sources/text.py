@@ -33,7 +33,7 @@ INT_PATTERN = r"\A[+-]?[0-9]+\z"   # whole-field signed decimal integer
 MODES = ("failfast", "quarantine", "drop")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line (``value STRING``); splittable for plain text."""
     return spark.read.text(path)
 
