@@ -1,6 +1,6 @@
 """Command line: cluster the postings of text files and print the report (K5 + S5).
 
-    spark-submit -m postclust /data/postings/*.csv [--spread 50000 --kernels 45 ...]
+    spark-submit --py-files postclust.zip postclust/__main__.py /data/postings/ [--spread 50000 ...]
     python -m postclust postings.csv --master local[8]
 
 Bad lines fail the job (``--mode failfast``, the default) or are written aside
