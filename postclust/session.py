@@ -26,7 +26,11 @@ def build_session(
     app_name: str = "postclust",
     extra_conf: dict | None = None,
 ) -> SparkSession:
-    """Local session for tests and benchmarks (the UI stays off)."""
+    """Local session for tests and benchmarks (the UI stays off).
+
+    ``checkpoint_dir`` is a fallback: it is used only when the Spark
+    configuration does not already name a checkpoint folder.
+    """
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -36,13 +40,12 @@ def build_session(
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
-    if checkpoint_dir:
-        builder = builder.config(CHECKPOINT_CONF, checkpoint_dir)
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not ensure_checkpoint_dir(spark) and checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
