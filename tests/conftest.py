@@ -10,38 +10,38 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
- tests own their session, so they set the checkpoint folder themselvesfrom postclust.session import build_session
+    from postclust.session import build_session
 
- tests own their session, so they set the checkpoint folder themselves# tests own their session, so they set the checkpoint folder themselves
- tests own their session, so they set the checkpoint folder themselvesckpt = tempfile.mkdtemp(prefix="postclust-ckpt-", dir="/tmp")
- tests own their session, so they set the checkpoint folder themselvessession = build_session(
- tests own their session, so they set the checkpoint folder themselves    master="local[*]",
- tests own their session, so they set the checkpoint folder themselves    shuffle_partitions=8,
- tests own their session, so they set the checkpoint folder themselves    checkpoint_dir=ckpt,
- tests own their session, so they set the checkpoint folder themselves    extra_conf={"spark.ui.showConsoleProgress": "false"},
- tests own their session, so they set the checkpoint folder themselves)
- tests own their session, so they set the checkpoint folder themselvesyield session
- tests own their session, so they set the checkpoint folder themselvessession.stop()
+    # fallback checkpoint folder, used only if the Spark configuration names none
+    ckpt = tempfile.mkdtemp(prefix="postclust-ckpt-", dir="/tmp")
+    session = build_session(
+        master="local[*]",
+        shuffle_partitions=8,
+        checkpoint_dir=ckpt,
+        extra_conf={"spark.ui.showConsoleProgress": "false"},
+    )
+    yield session
+    session.stop()
 
 
 # Postings fixture of the reference suite (16 rows): (type, id, accepted, parent, score, tag)
 FIXTURE_POSTINGS = [
- tests own their session, so they set the checkpoint folder themselves(1, 6, None, None, 50, "CSS"),
- tests own their session, so they set the checkpoint folder themselves(1, 7, None, None, 60, "Java"),
- tests own their session, so they set the checkpoint folder themselves(1, 8, None, None, 10, "Python"),
- tests own their session, so they set the checkpoint folder themselves(1, 9, 29, None, 80, "Scala"),
- tests own their session, so they set the checkpoint folder themselves(1, 10, 20, None, 150, "Java"),
- tests own their session, so they set the checkpoint folder themselves(1, 40, None, None, 150, "Java"),
- tests own their session, so they set the checkpoint folder themselves(2, 16, None, None, 50, "CSS"),
- tests own their session, so they set the checkpoint folder themselves(2, 17, None, 10, 60, "Java"),
- tests own their session, so they set the checkpoint folder themselves(2, 18, None, None, 10, "Python"),
- tests own their session, so they set the checkpoint folder themselves(2, 19, None, 9, 80, "Scala"),
- tests own their session, so they set the checkpoint folder themselves(2, 20, None, 10, 90, "Java"),
- tests own their session, so they set the checkpoint folder themselves(2, 26, None, 7, 50, "Java"),
- tests own their session, so they set the checkpoint folder themselves(2, 27, None, None, 60, "Java"),
- tests own their session, so they set the checkpoint folder themselves(2, 28, None, None, 10, "Python"),
- tests own their session, so they set the checkpoint folder themselves(2, 29, None, 9, 70, "Scala"),
- tests own their session, so they set the checkpoint folder themselves(2, 30, None, 9, 150, "Scala"),
+    (1, 6, None, None, 50, "CSS"),
+    (1, 7, None, None, 60, "Java"),
+    (1, 8, None, None, 10, "Python"),
+    (1, 9, 29, None, 80, "Scala"),
+    (1, 10, 20, None, 150, "Java"),
+    (1, 40, None, None, 150, "Java"),
+    (2, 16, None, None, 50, "CSS"),
+    (2, 17, None, 10, 60, "Java"),
+    (2, 18, None, None, 10, "Python"),
+    (2, 19, None, 9, 80, "Scala"),
+    (2, 20, None, 10, 90, "Java"),
+    (2, 26, None, 7, 50, "Java"),
+    (2, 27, None, None, 60, "Java"),
+    (2, 28, None, None, 10, "Python"),
+    (2, 29, None, 9, 70, "Scala"),
+    (2, 30, None, 9, 150, "Scala"),
 ]
 
 FIVE_LANGS = ("Python", "Java", "Ruby", "CSS", "Scala")
@@ -49,11 +49,11 @@ FIVE_LANGS = ("Python", "Java", "Ruby", "CSS", "Scala")
 
 @pytest.fixture(scope="session")
 def fixture_postings(spark):
- tests own their session, so they set the checkpoint folder themselvesfrom postclust.sources.memory import postings_from_rows
+    from postclust.sources.memory import postings_from_rows
 
- tests own their session, so they set the checkpoint folder themselvesreturn postings_from_rows(spark, FIXTURE_POSTINGS)
+    return postings_from_rows(spark, FIXTURE_POSTINGS)
 
 
 @pytest.fixture(scope="session")
 def sf_small():
- tests own their session, so they set the checkpoint folder themselvesreturn "/root/testdata/sf0.001"
+    return "/root/testdata/sf0.001"
