@@ -164,3 +164,14 @@ def test_interpreted_and_compiled_search_agree(spark, vectors):
         a = kmeans_step(pts, centers, interpreted=True)
         b = kmeans_step(pts, centers, interpreted=False)
         assert a == b
+
+
+def test_print_trace(vectors, capsys):
+    from postclust.sources.report import print_trace
+
+    result = fit(weigh_points(vectors), MEANS, PARAMS)
+    print_trace(result, PARAMS.eta)
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "Iteration: 1" and out[1] == "  * current distance: 4100.0"
+    assert out[5].strip().startswith("(0,10) ==>")
+    assert len(out) == 2 * (4 + len(MEANS))
