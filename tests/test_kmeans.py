@@ -173,5 +173,5 @@ def test_print_trace(vectors, capsys):
     print_trace(result, PARAMS.eta)
     out = capsys.readouterr().out.splitlines()
     assert out[0] == "Iteration: 1" and out[1] == "  * current distance: 4100.0"
-    assert out[5].strip().startswith("(0,10) ==>")
+    assert out[4].strip().startswith("(0,10) ==>")
     assert len(out) == 2 * (4 + len(MEANS))
