@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from postclust.params import DEFAULT_ETA, DEFAULT_KERNELS, DEFAULT_LANGS, DEFAULT_MAX_ITERATIONS, DEFAULT_SPREAD, Params
 from postclust.plans.analysis import run_analysis
 from postclust.session import RECOMMENDED_CONF
-from postclust.sources.report import print_report
+from postclust.sources.report import print_report, print_trace
 from postclust.sources.text import parse_postings, read_lines
 
 
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", choices=("failfast", "quarantine", "drop"), default="failfast")
     ap.add_argument("--bad-out", help="parquet folder for bad lines (quarantine mode)")
     ap.add_argument("--expect-rows", type=int, help="fail unless this many vectors are built")
+    ap.add_argument("--trace", action="store_true", help="print every fit iteration (old/new centers, shifts)")
     ap.add_argument("--master", help="Spark master when not launched by spark-submit")
     args = ap.parse_args(argv)
 
@@ -51,6 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         parsed.bad.write.mode("overwrite").parquet(args.bad_out)
     analysis = run_analysis(parsed.postings, params, expect_rows=args.expect_rows)
     r = analysis.result
+    if args.trace:
+        print_trace(r, params.eta)
     print(f"fit: {r.iterations} iterations, total shift {r.shift:g}, "
           f"{'converged' if r.converged else 'stopped at the iteration limit'}")
     print_report(analysis.summary)
