@@ -71,3 +71,35 @@ def test_hot_copies_of_one_question(spark):
     assert "partial_min" in plan
     counts = {r["question_id"]: r["n_pairs"] for r in joins.grouped_counts(postings).collect()}
     assert counts[7] == 5000
+
+
+def test_salted_pairs_equal_plain_join(skewed):
+    plain = sorted(map(tuple, joins.join_pairs(skewed, salted=False).collect()))
+    salted_df = joins.join_pairs(skewed, salted=True)
+    assert sorted(map(tuple, salted_df.collect())) == plain
+    left = sorted(map(tuple, joins.left_join_questions(skewed, salted=True).collect()), key=repr)
+    assert left == sorted(map(tuple, joins.left_join_questions(skewed, salted=False).collect()), key=repr)
+
+
+def test_salting_spreads_the_hot_question(spark, skewed):
+    from pyspark.sql import functions as F
+
+    a = skewed.filter("posting_type = 2 AND parent_id IS NOT NULL").select(
+        F.col("parent_id").alias("question_id"), F.col("id").alias("answer_id"), F.col("score").alias("answer_score"))
+    q = skewed.filter("posting_type = 1").select(
+        F.col("id").alias("question_id"), "tags", F.col("score").alias("question_score"))
+    pairs = joins.salted_pairs(a, q, buckets=8)
+    per_task = (pairs.filter("question_id = 1").groupBy(F.spark_partition_id().alias("p")).count()
+                .collect())
+    assert len(per_task) > 1  # the hot question's pairs come out of several tasks
+
+
+def test_salting_chosen_without_adaptive_skew_join(spark, fixture_postings):
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        plan = joins.join_pairs(fixture_postings)._jdf.queryExecution().optimizedPlan().toString()
+        assert "salt" in plan
+        assert joins.join_pairs(fixture_postings).count() == 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
