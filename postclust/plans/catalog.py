@@ -30,6 +30,7 @@ WIDE = TABLE_PARAMS                         # spread 50000: one language per clu
 NARROW = TABLE_PARAMS.replace(spread=100)   # spread 100: mixed clusters, W2 seed
 UNKNOWN = TABLE_PARAMS.replace(langs=tuple(l for l in PRIORITY_LANGS if l != "3-MEDIUM"), kernels=12)
 KNOWN_ONLY = UNKNOWN.replace(drop_unknown=True)  # unknown-language questions left out of the fit
+CAPPED = NARROW.replace(max_iterations=5)         # stops before converging (needs about 40 steps)
 FAR_CENTER = (1_000_000, 1_000_000)         # extra center no point is near (stays empty)
 # -----------------------------------------------------------------------------
 
@@ -159,6 +160,11 @@ def q_kmeans_fit_narrow(spark, sf_dir):
     return centers_frame(spark, result.centers)
 
 
+def q_kmeans_trace_capped(spark, sf_dir):
+    _, result = _fitted(spark, sf_dir, CAPPED)
+    return trace_frame(spark, result)
+
+
 def q_kmeans_trace(spark, sf_dir):
     _, result = _fitted(spark, sf_dir, WIDE)
     return trace_frame(spark, result)
@@ -207,6 +213,7 @@ QUERIES: dict[str, Query] = {
     "q_kmeans_fit_wide": q_kmeans_fit_wide,
     "q_kmeans_fit_narrow": q_kmeans_fit_narrow,
     "q_kmeans_trace": q_kmeans_trace,
+    "q_kmeans_trace_capped": q_kmeans_trace_capped,
     "q_cluster_lang_counts": q_cluster_lang_counts,
     "q_cluster_summary": q_cluster_summary,
     "q_cluster_summary_narrow": q_cluster_summary_narrow,

@@ -12,7 +12,7 @@ like Spark's ``div``).
 from __future__ import annotations
 
 from postclust.params import Params
-from postclust.plans.catalog import FAR_CENTER, KNOWN_ONLY, NARROW, UNKNOWN, WIDE
+from postclust.plans.catalog import CAPPED, FAR_CENTER, KNOWN_ONLY, NARROW, UNKNOWN, WIDE
 from postclust.sources.report import REPORT_HEADER, REPORT_ROW_FORMAT
 
 
@@ -200,6 +200,16 @@ SELECT CAST(row_number() OVER (ORDER BY median_score, cid) + {len(REPORT_HEADER)
 FROM summary""")
 
 
+def _trace_sql(params: Params) -> str:
+    return _with(POSTINGS, _vec(params), _seed(params), _fit(params)) + f"""
+SELECT CAST(k.it AS INTEGER) AS it, CAST(k.cid AS INTEGER) AS cid,
+       CAST(p.mx AS INTEGER) AS old_x, CAST(p.my AS INTEGER) AS old_y,
+       CAST(k.mx AS INTEGER) AS new_x, CAST(k.my AS INTEGER) AS new_y,
+       {_dist('k.mx', 'k.my', 'p.mx', 'p.my')} AS shift,
+       k.shift AS total_shift, k.shift < {float(params.eta)!r} AS converged
+FROM km k JOIN km p ON p.it = k.it - 1 AND p.cid = k.cid"""
+
+
 def _step_sql(select: str) -> str:
     far = f"SELECT CAST((SELECT count(*) FROM seed) AS INTEGER) AS cid, {FAR_CENTER[0]} AS mx, {FAR_CENTER[1]} AS my"
     return (_with(POSTINGS, _vec(WIDE), _seed(WIDE))
@@ -254,13 +264,8 @@ FROM moved m JOIN start s ON m.cid = s.cid"""),
         + "\nSELECT CAST(cid AS INTEGER) AS cid, CAST(mx AS INTEGER) AS mx, CAST(my AS INTEGER) AS my FROM final",
         "q_kmeans_fit_narrow": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW))
         + "\nSELECT CAST(cid AS INTEGER) AS cid, CAST(mx AS INTEGER) AS mx, CAST(my AS INTEGER) AS my FROM final",
-        "q_kmeans_trace": _with(POSTINGS, _vec(WIDE), _seed(WIDE), _fit(WIDE)) + f"""
-SELECT CAST(k.it AS INTEGER) AS it, CAST(k.cid AS INTEGER) AS cid,
-       CAST(p.mx AS INTEGER) AS old_x, CAST(p.my AS INTEGER) AS old_y,
-       CAST(k.mx AS INTEGER) AS new_x, CAST(k.my AS INTEGER) AS new_y,
-       {_dist('k.mx', 'k.my', 'p.mx', 'p.my')} AS shift,
-       k.shift AS total_shift, k.shift < {float(WIDE.eta)!r} AS converged
-FROM km k JOIN km p ON p.it = k.it - 1 AND p.cid = k.cid""",
+        "q_kmeans_trace": _trace_sql(WIDE),
+        "q_kmeans_trace_capped": _trace_sql(CAPPED),
         "q_cluster_lang_counts": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
         + "\nSELECT cid, x, n, median_score FROM per_lang",
         "q_cluster_summary": _with(POSTINGS, _vec(WIDE), _seed(WIDE), _fit(WIDE), _summary_ctes(WIDE))
