@@ -1 +1 @@
-
+"""Column expressions: language lookups, point distances, integer division."""

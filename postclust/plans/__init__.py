@@ -1 +1 @@
-
+"""Whole analyses and the registered queries with their oracle SQL."""

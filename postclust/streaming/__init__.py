@@ -1 +1 @@
-
+"""Structured Streaming use of the stateless parser."""
