@@ -19,3 +19,21 @@ def test_cli_report(spark, sf_small, tmp_path, capsys):
     lines = [r["line"] for r in report_lines(expected).orderBy("line_no").collect()]
     assert out[1:] == lines
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 0
+
+
+def test_cli_trace_and_failfast(spark, tmp_path, capsys):
+    import pytest
+
+    good = tmp_path / "good.csv"
+    lines = [f"1,{q},,,0,{lang}" for q, lang in ((1, "Java"), (2, "Scala"), (3, "Java"))]
+    lines += [f"2,{10 + q},,{q},{5 * q},".rstrip(",") for q in (1, 2, 3)]
+    good.write_text("\n".join(lines) + "\n")
+    main([str(good), "--langs", "Java,Scala", "--kernels", "2", "--spread", "100", "--trace"])
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "Iteration: 1" and any(l.startswith("fit: ") for l in out)
+    assert "Resulting clusters:" in out
+
+    bad = tmp_path / "bad.csv"
+    bad.write_text("\n".join(lines + ["2,99,,3,4.5"]) + "\n")
+    with pytest.raises(Exception, match="bad posting line"):
+        main([str(bad), "--langs", "Java,Scala", "--kernels", "2", "--spread", "100"])
