@@ -29,6 +29,7 @@ def duck(sf_small):
 
 
 NO_ORACLE = {"q_sample_bernoulli"}
+SQL_TYPES = {"integer": "INTEGER", "long": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def test_every_query_has_oracle():
@@ -51,6 +52,10 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(res.fetchall(), dcols)
+    rel = duck.sql(oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SQL_TYPES.get(f.dataType.typeName(), f.dataType.typeName()) for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 def test_entry(spark):
