@@ -21,19 +21,30 @@ def best_answer_scores(postings: DataFrame) -> DataFrame:
     )
 
 
+QUESTION_COLUMNS = ["tags", "question_score", "accepted_answer"]
+
+
 def unique_questions(postings: DataFrame) -> DataFrame:
-    """One question row per id; duplicates of an id fold into one (smallest tag)."""
-    return questions(postings).groupBy("question_id").agg(F.min("tags").alias("tags"))
+    """One question row per id: copies of an id fold into the one with the
+    smallest tag, then score, then accepted answer (NULLs last)."""
+    key = F.struct(
+        F.col("tags").isNull().alias("tags_null"), "tags", "question_score",
+        F.col("accepted_answer").isNull().alias("accepted_null"), "accepted_answer",
+    )
+    return questions(postings).groupBy("question_id").agg(F.min(key).alias("q")).select(
+        "question_id", *[F.col(f"q.{c}").alias(c) for c in QUESTION_COLUMNS]
+    )
 
 
 def score_questions(postings: DataFrame) -> DataFrame:
-    """A3: ``(question_id, tags, high_score)`` for every answered question.
+    """A3: ``(question_id, tags, question_score, accepted_answer, high_score)``
+    for every answered question.
 
     Both sides are reduced to one row per question id before the join. The
     question side folds duplicate ids with a partial aggregate per task, so
     even an id whose copies make up a large share of all questions crosses the
     shuffle as one row per task (the fold sorts locally, as ``min`` over a
-    string is a sort-based aggregate). Both join inputs come out unique per key
+    struct is a sort-based aggregate). Both join inputs come out unique per key
     and partitioned and sorted on it, so the join adds no exchange, no sort,
     and no key can be hot.
     """

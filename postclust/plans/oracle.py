@@ -36,8 +36,12 @@ a AS (
   SELECT parent_id AS question_id, id AS answer_id, score AS answer_score
   FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL),
 scored AS (
-  SELECT uq.question_id, uq.tags, greatest(0, ba.best) AS high_score
-  FROM (SELECT question_id, min(tags) AS tags FROM q GROUP BY question_id) uq
+  SELECT uq.question_id, uq.m.t AS tags, uq.m.s AS question_score, uq.m.a AS accepted_answer,
+         greatest(0, ba.best) AS high_score
+  FROM (SELECT question_id,
+               min(struct_pack(tn := tags IS NULL, t := tags, s := question_score,
+                               an := accepted_answer IS NULL, a := accepted_answer)) AS m
+        FROM q GROUP BY question_id) uq
   JOIN (SELECT question_id, max(answer_score) AS best FROM a GROUP BY question_id) ba
     ON uq.question_id = ba.question_id)"""
 
@@ -240,7 +244,8 @@ FROM q LEFT JOIN a ON a.question_id = q.question_id""",
         "q_grouped_counts": base + """
 SELECT q.question_id, CAST(count(*) AS BIGINT) AS n_pairs
 FROM q JOIN a ON a.question_id = q.question_id GROUP BY q.question_id""",
-        "q_scored_questions": base + "\nSELECT question_id, tags, high_score FROM scored",
+        "q_scored_questions": base
+        + "\nSELECT question_id, tags, question_score, accepted_answer, high_score FROM scored",
         "q_vectors": wide_vec + "\nSELECT question_id, x, y FROM vec",
         "q_vectors_unknown": _with(POSTINGS, _vec(UNKNOWN)) + "\nSELECT question_id, x, y FROM vec",
         "q_lang_labels": _with(POSTINGS, _vec(UNKNOWN)) + f"""

@@ -47,3 +47,45 @@ def test_duplicate_question_ids_fold(spark):
     # the pair count still sees both question copies, as the plain join does
     assert joins.grouped_counts(postings).collect()[0]["n_pairs"] == 2
     assert joins.join_pairs(postings).count() == 2
+
+
+def test_duplicate_ids_fold_the_same_in_both_engines(spark, tmp_path):
+    """Copies of one order key (NULL priority among them) fold to the same row
+    in Spark and in the DuckDB oracle."""
+    import datetime
+
+    import duckdb
+    import pandas as pd
+
+    from __spark_entry__ import oracle_sql, queries
+
+    ts = datetime.datetime(2020, 1, 1)
+    orders = pd.DataFrame({
+        "o_orderkey": [1, 1, 1, 2, 2, 3],
+        "o_custkey": [1] * 6,
+        "o_orderstatus": ["O"] * 6,
+        "o_totalprice": [1.0] * 6,
+        "o_orderdate": [ts] * 6,
+        "o_orderpriority": ["3-MEDIUM", None, "1-URGENT", None, None, "2-HIGH"],
+    })
+    lineitem = pd.DataFrame({
+        "l_orderkey": [1, 1, 2, 3, 9],
+        "l_partkey": [1] * 5, "l_suppkey": [1] * 5,
+        "l_linenumber": pd.array([1, 2, 1, 1, 1], dtype="int32"),
+        "l_quantity": [1.0] * 5, "l_extendedprice": [45000.0, 100.0, 30100.0, 29900.0, 5.0],
+        "l_discount": [0.0] * 5, "l_tax": [0.0] * 5,
+        "l_returnflag": ["N"] * 5, "l_linestatus": ["O"] * 5, "l_shipdate": [ts] * 5,
+    })
+    orders.to_parquet(tmp_path / "orders.parquet", coerce_timestamps="us")
+    lineitem.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+
+    got = sorted(map(tuple, queries()["q_scored_questions"](spark, str(tmp_path)).collect()), key=repr)
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    want = sorted(con.execute(oracle_sql()["q_scored_questions"]).fetchall(), key=repr)
+    assert got == want
+    by_id = {r[0]: r for r in got}
+    assert by_id[1][1] == "1-URGENT" and by_id[1][4] == 150   # smallest non-NULL tag; best score
+    assert by_id[2][1] is None and by_id[2][4] == 1            # only NULL tags
+    assert by_id[3][4] == 0                                    # negative best score clamps to 0
