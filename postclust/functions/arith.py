@@ -7,5 +7,6 @@ from pyspark.sql import functions as F
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Integral division truncating toward zero (SQL ``div``), BIGINT result."""
-    return F.call_function("div", a.cast("bigint"), b.cast("bigint"))
+    """Integral division truncating toward zero (SQL ``div``) of integer or
+    exact decimal operands, BIGINT result."""
+    return F.call_function("div", a, b)

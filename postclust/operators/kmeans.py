@@ -35,6 +35,10 @@ Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
 # (generated code reused across steps) instead of compiled per step.
 INTERPRETED_SEARCH_MAX_WORK = 2_000_000
 
+# Weighted coordinate sums: coordinate (< 2**31) times weight (up to the number
+# of questions) can pass the BIGINT range, so they are summed as exact decimals.
+SUM_TYPE = "DECIMAL(38,0)"
+
 
 def assign(points: DataFrame, centers: Centers) -> DataFrame:
     """Add ``cid``, the nearest center of every row's (x, y)."""
@@ -50,8 +54,8 @@ def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
     w = weight_column(points)
     assigned = assign(points, centers)
     return assigned.groupBy("cid").agg(
-        F.sum(F.col("x").cast("bigint") * w).alias("sx"),
-        F.sum(F.col("y").cast("bigint") * w).alias("sy"),
+        F.sum(F.col("x").cast(SUM_TYPE) * w).alias("sx"),
+        F.sum(F.col("y").cast(SUM_TYPE) * w).alias("sy"),
         F.sum(w).alias("size"),
     ).select(
         "cid",
@@ -84,8 +88,8 @@ def step_means(points: DataFrame, centers: Centers, view: str, interpreted: bool
     weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
     near = (nearest_center_interpreted_sql if interpreted else nearest_center_sql)("x", "y", centers)
     query = (
-        "SELECT cid, CAST(sum(CAST(x AS BIGINT) * n) div sum(n) AS INT) AS mx, "
-        "CAST(sum(CAST(y AS BIGINT) * n) div sum(n) AS INT) AS my FROM ("
+        f"SELECT cid, CAST(sum(CAST(x AS {SUM_TYPE}) * n) div sum(n) AS INT) AS mx, "
+        f"CAST(sum(CAST(y AS {SUM_TYPE}) * n) div sum(n) AS INT) AS my FROM ("
         f"SELECT x, y, {weight} AS n, CAST({near} AS INT) AS cid FROM {view}) "
         "GROUP BY cid"
     )

@@ -175,3 +175,15 @@ def test_print_trace(vectors, capsys):
     assert out[0] == "Iteration: 1" and out[1] == "  * current distance: 4100.0"
     assert out[4].strip().startswith("(0,10) ==>")
     assert len(out) == 2 * (4 + len(MEANS))
+
+
+def test_centroid_sums_beyond_bigint(spark):
+    from postclust.operators.kmeans import cluster_means
+
+    big = 2_000_000_000
+    pts = spark.createDataFrame([(big, 1, 10**10), (big, 4, 10**10)], "x INT, y INT, n BIGINT")
+    # x * n summed is 4e19, past the BIGINT range
+    for interpreted in (True, False):
+        assert kmeans_step(pts, [(0, big, 0)], interpreted=interpreted) == [(0, big, 2)]
+    row = cluster_means(pts, [(0, big, 0)]).collect()[0]
+    assert (row["mx"], row["my"], row["size"]) == (big, 2, 2 * 10**10)
