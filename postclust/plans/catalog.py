@@ -72,6 +72,11 @@ def q_join_pairs(spark, sf_dir):
     return joins.join_pairs(_postings(spark, sf_dir))
 
 
+def q_join_pairs_salted(spark, sf_dir):
+    """J1 through explicit hot-key salting (the path taken without adaptive skew join)."""
+    return joins.join_pairs(_postings(spark, sf_dir), salted=True)
+
+
 def q_left_join_questions(spark, sf_dir):
     return joins.left_join_questions(_postings(spark, sf_dir))
 
@@ -197,6 +202,7 @@ QUERIES: dict[str, Query] = {
     "q_questions": q_questions,
     "q_answers": q_answers,
     "q_join_pairs": q_join_pairs,
+    "q_join_pairs_salted": q_join_pairs_salted,
     "q_left_join_questions": q_left_join_questions,
     "q_grouped_counts": q_grouped_counts,
     "q_scored_questions": q_scored_questions,

@@ -237,6 +237,9 @@ def oracle_sql() -> dict[str, str]:
         "q_answers": base + "\nSELECT question_id, answer_id, answer_score FROM a",
         "q_join_pairs": base + """
 SELECT a.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
+FROM a JOIN q ON a.question_id = q.question_id""",
+        "q_join_pairs_salted": base + """
+SELECT a.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
 FROM a JOIN q ON a.question_id = q.question_id""",
         "q_left_join_questions": base + """
 SELECT q.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
