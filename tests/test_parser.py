@@ -74,3 +74,12 @@ def test_text_scan(spark, tmp_path):
     path.write_text("\n".join(l for l, v in LINES if v is None) + "\n")
     parsed = parse_postings(read_lines(spark, str(path)), mode="failfast").postings
     assert parsed.count() == sum(1 for _, v in LINES if v is None)
+
+
+def test_text_scan_windows_line_endings(spark, tmp_path):
+    from postclust.sources.text import read_lines
+
+    path = tmp_path / "crlf.csv"
+    path.write_bytes(b"1,6,,,50,CSS\r\n2,17,,6,60\r\n")
+    rows = parse_postings(read_lines(spark, str(path)), mode="failfast").postings.collect()
+    assert sorted((r["id"], r["score"], r["tags"]) for r in rows) == [(6, 50, "CSS"), (17, 60, None)]
