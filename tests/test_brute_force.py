@@ -14,7 +14,8 @@ from postclust.sources.text import parse_postings
 SETTINGS = settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 
 field = st.one_of(
-    st.sampled_from(["", "0", "7", "-3", "+4", "12", " 5", "4.0", "x", "2147483648", "-2147483649",
+    st.sampled_from(["", "0", "7", "-3", "+4", "12", " 5", "4.0", "x", "2147483648", "-2147483649", "7\r", "\t7",
+                     "7\n", "-0", "٣",
                      "9223372036854775807", "9223372036854775808", "007", "+", "-", "Java", '"C#"']),
     st.text(alphabet="0123456789+-a ,", max_size=6),
 )

@@ -22,6 +22,9 @@ LINES = [
     ("1", "id: missing"),
     ("1,x", "id: not an int"),
     ("1,2,,z,3", "parent_id: not an int"),
+    ("2,5,,3,7\r", "score: not an int"),
+    ("2,5,,3,\t7", "score: not an int"),
+    ("1,\u0663,,,5", "id: not an int"),
 ]
 
 
