@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from postclust.llm.best_fit import pack
 from postclust.llm.common import read_table
+from postclust.llm.decontaminate import contaminated, contamination
+from postclust.llm.oracle import DECONTAMINATE, SECRETS
+from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
 
@@ -19,10 +22,31 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), payload={"ids_crc32": F.crc32("ids")})
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"),
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(read_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op4_simhash_near_dedup)}
-ORACLE: dict[str, str] = {}
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count_of(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(spans_text(spans), 256).alias("base_sha256"), spans_text(spans).alias("spans"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op6_secret_scans,
+)}
+ORACLE = {
+    "op3_benchmark_decontamination": DECONTAMINATE,
+    "op6_secret_scans": SECRETS,
+}
