@@ -12,6 +12,7 @@ from postclust.llm.oracle import DECONTAMINATE, SECRETS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
+from postclust.llm.wavelet import round_trip
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     return scan(read_table(spark, sf_dir, "documents")).select(
@@ -44,7 +50,8 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op6_secret_scans,
+    op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
+    op6_secret_scans,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
