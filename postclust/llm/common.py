@@ -64,3 +64,18 @@ def keep_listed(rows: DataFrame, listed: DataFrame, keys: list[str]) -> DataFram
     are, beyond that both sides are shuffled."""
     small = listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return rows.join(F.broadcast(listed) if small else listed, keys, "left_semi")
+
+
+#: A key is hot if it holds more than this share of all rows; so at most 1,000 are.
+HOT_SHARE = 0.001
+
+
+def counted_join(rows: DataFrame, keys: list[str], table: DataFrame, count: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``table`` (one row per key, ``count`` the rows that hold
+    it): inner or left_semi. The at most 1,000 hot keys are broadcast, so that
+    their rows stay where they are; the others are shuffled."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = table.where(F.col(count) > total * HOT_SHARE)
+    cold = table.where(F.col(count) <= total * HOT_SHARE).drop(count)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot.drop(count)), keys, how).unionByName(rest.join(cold, keys, how))

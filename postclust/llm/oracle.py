@@ -68,3 +68,22 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
     coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN total USING (doc_id)
 """
+
+SUBSTRINGS = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+    SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS m
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM d WHERE len(ws) >= 50)
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p
+    FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY m) AS least FROM w) WHERE doc_id > least
+), word AS (
+    SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS said FROM d
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(said, ' ' ORDER BY p) AS text
+    FROM word ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from postclust.llm.best_fit import pack
 from postclust.llm.common import read_table
 from postclust.llm.decontaminate import contaminated, contamination
-from postclust.llm.oracle import DECONTAMINATE, SECRETS
+from postclust.llm.line_templates import drop_recurring_lines
+from postclust.llm.lz_spans import dedup_spans
+from postclust.llm.oracle import DECONTAMINATE, SECRETS, SUBSTRINGS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
@@ -49,11 +51,22 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
+    return dedup_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", removed.cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
-    op6_secret_scans,
+    op6_secret_scans, op9_substring_dedup, op10_line_dedup,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
     "op6_secret_scans": SECRETS,
+    "op9_substring_dedup": SUBSTRINGS,
 }
