@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postclust.llm.best_fit import pack
 from postclust.llm.common import read_table
 from postclust.llm.decontaminate import contaminated, contamination
+from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
 from postclust.llm.oracle import DECONTAMINATE, SECRETS, SUBSTRINGS
@@ -51,6 +52,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
     return dedup_spans(read_table(spark, sf_dir, "documents")).select(
@@ -63,7 +68,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
-    op6_secret_scans, op9_substring_dedup, op10_line_dedup,
+    op6_secret_scans, op7_language_id, op9_substring_dedup, op10_line_dedup,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
