@@ -87,3 +87,27 @@ WITH d AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), ok AS (
+    SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+    WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+        AND len(list_filter(e, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND list_dot_product(e, e) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), reached(vec_id, seen) AS (
+    SELECT vec_id, vec_id FROM v
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN link l ON l.a = r.seen
+), least AS (
+    SELECT vec_id, min(seen) AS component_id FROM reached GROUP BY vec_id
+), n AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN n USING (vec_id)
+"""

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from postclust.llm.best_fit import pack
 from postclust.llm.common import read_table
 from postclust.llm.decontaminate import contaminated, contamination
+from postclust.llm.ego_join import near_vectors
 from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
-from postclust.llm.oracle import DECONTAMINATE, SECRETS, SUBSTRINGS
+from postclust.llm.oracle import DECONTAMINATE, EMBEDDINGS, SECRETS, SUBSTRINGS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
@@ -56,6 +57,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
     return dedup_spans(read_table(spark, sf_dir, "documents")).select(
@@ -68,10 +73,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
-    op6_secret_scans, op7_language_id, op9_substring_dedup, op10_line_dedup,
+    op6_secret_scans, op7_language_id, op8_embedding_near_dedup,
+    op9_substring_dedup, op10_line_dedup,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
     "op6_secret_scans": SECRETS,
+    "op8_embedding_near_dedup": EMBEDDINGS,
     "op9_substring_dedup": SUBSTRINGS,
 }
