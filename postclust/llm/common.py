@@ -58,12 +58,19 @@ def salted_lookup(rows: DataFrame, key: str, table: DataFrame, salt_by: list[str
     return salted.join(found, [key, "_salt"], how).drop("_salt")
 
 
-def keep_listed(rows: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose ``keys`` are in ``listed``. The list is counted: up to
-    ``BROADCAST_ROWS`` it is broadcast, so that the (wide) rows stay where they
+def keep_listed(rows: DataFrame, listed: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose ``keys`` are in ``listed`` (``left_anti``: are not). The list is counted:
+    up to ``BROADCAST_ROWS`` it is broadcast, so that the (wide) rows stay where they
     are, beyond that both sides are shuffled."""
     small = listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(listed) if small else listed, keys, "left_semi")
+    return rows.join(F.broadcast(listed) if small else listed, keys, how)
+
+
+def row_keyed(rows: DataFrame) -> DataFrame:
+    """``(key, row)``: each row as one struct with a number of its own, written once so
+    that the number stays. Names of its columns can't clash with others."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    return materialize(rows.select(F.monotonically_increasing_id().alias("key"), row), "rows")
 
 
 #: A key is hot if it holds more than this share of all rows; so at most 1,000 are.
