@@ -53,8 +53,8 @@ def main() -> None:
     spark = build_session(
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
-        checkpoint_dir=tempfile.mkdtemp(prefix="bench-ckpt-", dir="/tmp"),
-        extra_conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
+        checkpoint_dir=tempfile.mkdtemp(prefix="bench-ckpt-"),  # one machine; a cluster names its own
+        extra_conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warmup_dir and os.path.isdir(warmup_dir):

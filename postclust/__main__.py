@@ -13,10 +13,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from postclust.operators.kmeans import trace_frame
 from postclust.params import DEFAULT_ETA, DEFAULT_KERNELS, DEFAULT_LANGS, DEFAULT_MAX_ITERATIONS, DEFAULT_SPREAD, Params
 from postclust.plans.analysis import run_analysis
 from postclust.session import RECOMMENDED_CONF
-from postclust.sources.report import print_report, print_trace
+from postclust.sources.report import print_report
 from postclust.sources.text import parse_postings, read_lines
 
 
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     analysis = run_analysis(parsed.postings, params, expect_rows=args.expect_rows)
     r = analysis.result
     if args.trace:
-        print_trace(r, params.eta)
+        trace_frame(spark, r).orderBy("it", "cid").show(len(r.trace), truncate=False)
     print(f"fit: {r.iterations} iterations, total shift {r.shift:g}, "
           f"{'converged' if r.converged else 'stopped at the iteration limit'}")
     print_report(analysis.summary)

@@ -18,60 +18,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sq_distance(x: Column, y: Column, mx: Column, my: Column) -> Column:
-    """V1: squared euclidean distance (no root), exact in double arithmetic
-    for integer coordinates below 2**26."""
-    dx = x.cast("double") - mx.cast("double")
-    dy = y.cast("double") - my.cast("double")
-    return dx * dx + dy * dy
-
-
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _sq_distance_sql(xd: str, yd: str, mx: int, my: int) -> str:
-    dx = f"({xd} - {float(mx)!r}D)"
-    dy = f"({yd} - {float(my)!r}D)"
-    return f"{dx} * {dx} + {dy} * {dy}"
+def sq_distance_sql(xd: str, yd: str, mx: str, my: str) -> str:
+    """V1: squared euclidean distance (no root) of SQL terms, exact in double
+    arithmetic for integer coordinates below 2**26."""
+    return f"({xd} - {mx}) * ({xd} - {mx}) + ({yd} - {my}) * ({yd} - {my})"
 
 
-def nearest_center_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> str:
-    """SQL text of V2 over the columns named ``x`` and ``y``.
+def nearest_position_sql(x: str, y: str, centers: Sequence[tuple[str, str]]) -> str:
+    """SQL text of V2 over the columns named ``x`` and ``y``: the position (from 0)
+    of the nearest of ``centers``, given as pairs of SQL terms.
 
     The distances form one array; the first position of its minimum is the
-    nearest center, so equal distances go to the earlier (lower) cid.
+    nearest center, so equal distances go to the earlier one.
     """
     if not centers:
         raise ValueError("at least one center is needed")
     xd, yd = f"CAST({_quote(x)} AS DOUBLE)", f"CAST({_quote(y)} AS DOUBLE)"
-    dists = "array(" + ", ".join(_sq_distance_sql(xd, yd, int(mx), int(my)) for _, mx, my in centers) + ")"
-    pos = f"array_position({dists}, array_min({dists}))"
+    dists = "array(" + ", ".join(sq_distance_sql(xd, yd, mx, my) for mx, my in centers) + ")"
+    return f"CAST(array_position({dists}, array_min({dists})) - 1 AS INT)"
+
+
+def nearest_center_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> str:
+    """V2 with literal centers: the cid of the nearest one, the lowest of equals."""
+    pos = nearest_position_sql(x, y, [(f"{float(mx)!r}D", f"{float(my)!r}D") for _, mx, my in centers])
     cids = [int(c) for c, _, _ in centers]
     if cids == list(range(len(cids))):
-        return f"CAST({pos} - 1 AS INT)"
+        return pos
     if sorted(cids) != cids:
         raise ValueError("centers must be listed in increasing cid order")
-    return f"element_at(array({', '.join(map(str, cids))}), CAST({pos} AS INT))"
-
-
-def nearest_center_interpreted_sql(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> str:
-    """Same result as ``nearest_center_sql``, as ``array_min`` over a
-    ``transform`` of one literal array of centers.
-
-    The array literal reaches generated code by reference and the lambda runs
-    interpreted, so the generated code is the same whatever the center
-    positions: a fit loop compiles it once instead of once per iteration, at a
-    higher cost per row. Structs compare by distance, then cid.
-    """
-    if not centers:
-        raise ValueError("at least one center is needed")
-    xd, yd = f"CAST({_quote(x)} AS DOUBLE)", f"CAST({_quote(y)} AS DOUBLE)"
-    cs = "array(" + ", ".join(
-        f"named_struct('cid', {int(cid)}, 'mx', {float(mx)!r}D, 'my', {float(my)!r}D)" for cid, mx, my in centers
-    ) + ")"
-    d = f"({xd} - c.mx) * ({xd} - c.mx) + ({yd} - c.my) * ({yd} - c.my)"
-    return f"array_min(transform({cs}, c -> named_struct('d', {d}, 'cid', c.cid))).cid"
+    return f"element_at(array({', '.join(map(str, cids))}), {pos} + 1)"
 
 
 def nearest_center(x: str, y: str, centers: Sequence[tuple[int, int, int]]) -> Column:

@@ -12,7 +12,7 @@ out so that the hot side can always be split:
   anti join against the *distinct* parent ids, which the partial aggregate
   collapses map-side, so no hot key crosses the shuffle.
 * A1 never materializes the pairs: answers and questions are counted per key
-  first (map-side partial aggregates), and the pair count is the product.
+  in one map-side partial aggregate, and the pair count is the product.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postclust.operators.postings import answers, questions
+from postclust.operators.postings import ANSWER, QUESTION, answers, questions
 
 PAIR_COLUMNS = ["question_id", "tags", "question_score", "answer_id", "answer_score"]
 
@@ -60,20 +60,19 @@ def salted_pairs(a: DataFrame, q: DataFrame, buckets: int = SALT_BUCKETS,
 
     Hot questions (more than ``share`` of all answers, found with a partial
     count per key) get their answers spread over ``buckets`` salt values by a
-    hash of the answer id, and their question row copied once per salt value;
+    hash of all the answer's columns (answer ids repeat), and their question row copied once per salt value;
     every other key keeps salt 0. The join on ``(question_id, salt)`` then
     sends a hot question's answers to ``buckets`` tasks. Same rows as the plain
     join.
     """
-    threshold = max(1, int(a.count() * share))
+    counts = a.groupBy("question_id").count()
+    threshold = counts.agg((F.sum("count") * F.lit(share)).alias("t")).scalar()
     hot = F.broadcast(  # at most 1 / share rows
-        a.groupBy("question_id").count()
-        .filter(F.col("count") > threshold)
-        .select("question_id", F.lit(True).alias("hot"))
+        counts.filter(F.col("count") > threshold).select("question_id", F.lit(True).alias("hot"))
     )
     a_salted = a.join(hot, "question_id", "left").withColumn(
         "salt",
-        F.when(F.col("hot"), F.pmod(F.xxhash64("answer_id"), F.lit(buckets))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col("hot"), F.pmod(F.xxhash64(*a.columns), F.lit(buckets))).otherwise(F.lit(0)).cast("int"),
     )
     q_salted = q.join(hot, "question_id", "left").withColumn(
         "salt",
@@ -102,11 +101,13 @@ def left_join_questions(postings: DataFrame, salted: bool | None = None) -> Data
 def grouped_counts(postings: DataFrame) -> DataFrame:
     """A1 + A12: number of (question, answer) pairs per answered question id.
 
-    Equals ``count(*)`` over J1 grouped by question id, computed from per-key
-    counts of both sides so that no group is ever gathered in one place.
+    Equals ``count(*)`` over J1 grouped by question id. Each posting is keyed
+    once (a question by its id, an answer by its parent) and both kinds are
+    counted in one aggregate, so the input is read once and no group is ever
+    gathered in one place.
     """
-    a = answers(postings).groupBy("question_id").agg(F.count(F.lit(1)).alias("n_answers"))
-    q = questions(postings).groupBy("question_id").agg(F.count(F.lit(1)).alias("n_questions"))
-    return a.join(q, "question_id").select(
-        "question_id", (F.col("n_answers") * F.col("n_questions")).alias("n_pairs")
-    )
+    kind = F.col("posting_type")
+    key = F.when(kind == QUESTION, F.col("id")).when(kind == ANSWER, F.col("parent_id"))
+    keyed = postings.select(key.alias("question_id"), kind).filter(F.col("question_id").isNotNull())
+    n = F.count_if(kind == QUESTION) * F.count_if(kind == ANSWER)
+    return keyed.groupBy("question_id").agg(n.alias("n_pairs")).filter(F.col("n_pairs") > 0)

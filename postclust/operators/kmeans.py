@@ -15,8 +15,6 @@ centers are returned either way.
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postclust.functions.arith import int_div
-from postclust.functions.geometry import (
-    nearest_center, nearest_center_interpreted_sql, nearest_center_sql, point_shift, total_shift,
-)
+from postclust.functions.geometry import nearest_center, nearest_position_sql, point_shift, total_shift
 from postclust.params import Params
 
 Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
 
-# Rows x centers up to which a fit runs its nearest-center search interpreted
-# (generated code reused across steps) instead of compiled per step.
-INTERPRETED_SEARCH_MAX_WORK = 2_000_000
-
 # Weighted coordinate sums: coordinate (< 2**31) times weight (up to the number
 # of questions) can pass the BIGINT range, so they are summed as exact decimals.
 SUM_TYPE = "DECIMAL(38,0)"
@@ -49,70 +41,41 @@ def weight_column(points: DataFrame) -> F.Column:
     return F.col("n") if "n" in points.columns else F.lit(1).cast("bigint")
 
 
+def assign_by_position(points: DataFrame, centers: Centers) -> DataFrame:
+    """``(x, y, n, pos)``: the position of every point's nearest center.
+
+    The centers come from a one-row subquery, as one array. The expression over
+    it is the same in every step, so a fit compiles its code once.
+    """
+    flat = [float(c) for _, mx, my in centers for c in (mx, my)]
+    row = points.sparkSession.createDataFrame([(flat,)], "centers ARRAY<DOUBLE>")
+    terms = [(f"centers[{2 * i}]", f"centers[{2 * i + 1}]") for i in range(len(centers))]
+    weighted = points.select("x", "y", weight_column(points).alias("n"), row.scalar().alias("centers"))
+    return weighted.select("x", "y", "n", F.expr(nearest_position_sql("x", "y", terms)).alias("pos"))
+
+
 def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
-    """A4 + A5: ``(cid, mx, my, size)`` of every non-empty cluster."""
-    w = weight_column(points)
-    assigned = assign(points, centers)
-    return assigned.groupBy("cid").agg(
-        F.sum(F.col("x").cast(SUM_TYPE) * w).alias("sx"),
-        F.sum(F.col("y").cast(SUM_TYPE) * w).alias("sy"),
-        F.sum(w).alias("size"),
-    ).select(
-        "cid",
+    """A4 + A5: ``(pos, mx, my, size)`` of every non-empty cluster, by the position
+    of its center. A points table of one partition needs no exchange; a larger one
+    sends at most k partial rows per task."""
+    n = F.col("n")
+    sums = assign_by_position(points, centers).groupBy("pos").agg(
+        F.sum(F.col("x").cast(SUM_TYPE) * n).alias("sx"),
+        F.sum(F.col("y").cast(SUM_TYPE) * n).alias("sy"),
+        F.sum(n).alias("size"),
+    )
+    return sums.select(
+        "pos",
         int_div(F.col("sx"), F.col("size")).cast("int").alias("mx"),
         int_div(F.col("sy"), F.col("size")).cast("int").alias("my"),
         "size",
     )
 
 
-@contextmanager
-def points_view(points: DataFrame):
-    """Register the points as a uniquely named temp view for the fit steps."""
-    name = f"postclust_points_{uuid.uuid4().hex[:16]}"
-    points.createOrReplaceTempView(name)
-    try:
-        yield name
-    finally:
-        points.sparkSession.catalog.dropTempView(name)
-
-
-def step_means(points: DataFrame, centers: Centers, view: str, interpreted: bool = False) -> dict[int, tuple[int, int]]:
-    """A4 + A5 for one step: ``{cid: (mx, my)}`` of every non-empty cluster.
-
-    One SQL statement over the registered points view (one call into the JVM
-    to build it). A points table cached as a single partition already
-    satisfies the grouping, so the step is one stage without exchange; a
-    larger one sends at most k partial rows per task. ``interpreted`` picks the
-    nearest-center form whose generated code does not change between steps.
-    """
-    weight = "n" if "n" in points.columns else "CAST(1 AS BIGINT)"
-    near = (nearest_center_interpreted_sql if interpreted else nearest_center_sql)("x", "y", centers)
-    query = (
-        f"SELECT cid, CAST(sum(CAST(x AS {SUM_TYPE}) * n) div sum(n) AS INT) AS mx, "
-        f"CAST(sum(CAST(y AS {SUM_TYPE}) * n) div sum(n) AS INT) AS my FROM ("
-        f"SELECT x, y, {weight} AS n, CAST({near} AS INT) AS cid FROM {view}) "
-        "GROUP BY cid"
-    )
-    return {r["cid"]: (r["mx"], r["my"]) for r in points.sparkSession.sql(query).collect()}
-
-
-def interpreted_search(points: DataFrame, k: int) -> bool:
-    """Whether a fit over ``points`` should run the nearest-center search
-    interpreted: true while rows x centers stays small enough that compiling
-    new code every step costs more than evaluating the search row by row."""
-    return points.count() * k <= INTERPRETED_SEARCH_MAX_WORK
-
-
-def kmeans_step(points: DataFrame, centers: Centers, view: str | None = None,
-                interpreted: bool | None = None) -> Centers:
+def kmeans_step(points: DataFrame, centers: Centers) -> Centers:
     """K1: one update; empty clusters keep their previous center."""
-    if interpreted is None:
-        interpreted = interpreted_search(points, len(centers))
-    if view is None:
-        with points_view(points) as name:
-            return kmeans_step(points, centers, name, interpreted)
-    moved = step_means(points, centers, view, interpreted)
-    return [(cid, *moved.get(cid, (x, y))) for cid, x, y in centers]
+    moved = {r["pos"]: (r["mx"], r["my"]) for r in cluster_means(points, centers).collect()}
+    return [(cid, *moved.get(i, (x, y))) for i, (cid, x, y) in enumerate(centers)]
 
 
 def converged(shift: float, params: Params) -> bool:
@@ -151,18 +114,16 @@ def fit(points: DataFrame, init: Centers, params: Params) -> FitResult:
     centers = [(int(c), int(x), int(y)) for c, x, y in init]
     trace: list[tuple] = []
     it = 0
-    interpreted = interpreted_search(points, len(centers))
-    with points_view(points) as view:
-        while True:
-            it += 1
-            new = kmeans_step(points, centers, view, interpreted)
-            shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
-            done = converged(shift, params)
-            for (cid, ox, oy), (_, nx, ny) in zip(centers, new):
-                trace.append((it, cid, ox, oy, nx, ny, point_shift((ox, oy), (nx, ny)), shift, done))
-            centers = new
-            if done or it >= params.max_iterations:
-                return FitResult(centers, it, done, shift, trace)
+    while True:
+        it += 1
+        new = kmeans_step(points, centers)
+        shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
+        done = converged(shift, params)
+        for (cid, ox, oy), (_, nx, ny) in zip(centers, new):
+            trace.append((it, cid, ox, oy, nx, ny, point_shift((ox, oy), (nx, ny)), shift, done))
+        centers = new
+        if done or it >= params.max_iterations:
+            return FitResult(centers, it, done, shift, trace)
 
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:

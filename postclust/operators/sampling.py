@@ -14,6 +14,8 @@ order, and both forms are bounded top-k plans:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +49,59 @@ def sample_global(vectors: DataFrame, params: Params) -> DataFrame:
     return top.select("question_id", "x", "y", F.row_number().over(Window.orderBy("h", "question_id")).alias("rn"))
 
 
+UNIFORM_BITS = 52  # exact in a double
+
+
+def sample_uniform(question_id, seed: int):
+    """A number in [0, 1) that only the seed and the id decide."""
+    top = F.conv(F.substring(sample_key(question_id, seed), 1, UNIFORM_BITS // 4), 16, 10)
+    return top.cast("double") / F.lit(float(1 << UNIFORM_BITS))
+
+
+# Draws of one row with replacement; a Poisson count of rate 1 is above this
+# with a probability under 1e-17, which a 52-bit uniform cannot show.
+MAX_DRAWS = 18
+
+
+def poisson_steps(rate: float) -> list[float]:
+    """Probabilities that a Poisson count is at most 0, 1, 2, ..."""
+    term = total = math.exp(-rate)
+    steps = [total]
+    for k in range(1, MAX_DRAWS):
+        term *= rate / k
+        total += term
+        steps.append(total)
+    return steps
+
+
 def sample_fraction(vectors: DataFrame, fraction: float = 0.1, with_replacement: bool = True, seed: int = 0) -> DataFrame:
-    """Bernoulli (or Poisson, with replacement) sample of the rows."""
-    return vectors.sample(with_replacement, fraction, seed)
+    """Bernoulli sample of the rows, or Poisson (each row as often as a
+    Poisson count of rate ``fraction`` says, at most 1) with replacement.
+
+    The draw is the row's uniform number, compared with the fraction or sent
+    through the inverse Poisson distribution, so it does not depend on how the
+    rows are partitioned.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    u = sample_uniform(F.col("question_id"), seed)
+    if not with_replacement:
+        return vectors.filter(u < fraction)
+    steps = F.array(*[F.lit(p) for p in poisson_steps(fraction)])
+    draws = F.size(F.filter(steps, lambda p: p <= u))
+    copies = F.when(draws > 0, F.sequence(F.lit(1), draws)).otherwise(F.array().cast("array<int>"))
+    return vectors.select("*", F.explode(copies).alias("_draw")).drop("_draw")
+
+
+def sample_sizes(sample: DataFrame, params: Params) -> DataFrame:
+    """C3 + C4 as data: vectors per x of a seed sample, and whether that is
+    what the parameters ask for (``per_lang`` each; ``kernels`` in all if the
+    sample is global)."""
+    counts = sample.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    if params.global_sample:
+        total = sample.agg(F.count(F.lit(1)).alias("n")).scalar()
+        return counts.select("x", "n", (total == params.kernels).alias("complete"))
+    return counts.select("x", "n", (F.col("n") == params.per_lang).alias("complete"))
 
 
 def seed_sample(vectors: DataFrame, params: Params) -> DataFrame:

@@ -11,16 +11,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from postclust.functions.geometry import total_shift
 from postclust.operators import joins, postings as post
-from postclust.operators.kmeans import assign, centers_frame, kmeans_step, trace_frame
-from postclust.operators.sampling import initial_centers, sample_fraction, seed_sample
+from postclust.operators.kmeans import assign, centers_frame, converged, kmeans_step, trace_frame
+from postclust.operators.sampling import initial_centers, sample_fraction, sample_sizes, seed_sample
 from postclust.operators.scoring import score_questions
 from postclust.operators.summary import cluster_lang_stats
 from postclust.operators.vectors import vectorize, weigh_points, with_labels
 from postclust.params import Params
 from postclust.plans.analysis import fit_vectors, run_analysis, seed_and_points
+from postclust.session import cut_lineage
 from postclust.sources.report import report_lines
 from postclust.sources.tables import PRIORITY_LANGS, TABLE_PARAMS, postings_from_tables, read_table
 from postclust.sources.text import parse_postings, render_lines, text_lines
@@ -114,25 +115,31 @@ def q_sample_global(spark, sf_dir):
 
 
 def q_sample_bernoulli(spark, sf_dir):
-    """10 % sample with replacement (seed 0) of the vectors; random by
-    design, so it has no oracle SQL (rows-only check)."""
-    return sample_fraction(_vectors(spark, sf_dir, WIDE), 0.1, with_replacement=True, seed=0)
+    """10 % of the vectors, each at most once."""
+    return sample_fraction(_vectors(spark, sf_dir, WIDE), 0.1, with_replacement=False, seed=0)
 
 
-def _seeded(spark, sf_dir, params):
-    vectors = _vectors(spark, sf_dir, params)
-    return vectors, initial_centers(vectors, params)
+def q_sample_poisson(spark, sf_dir):
+    """W3 with replacement: a vector may be drawn several times."""
+    return sample_fraction(_vectors(spark, sf_dir, WIDE), 0.5, with_replacement=True, seed=0)
+
+
+def q_sample_sizes(spark, sf_dir):
+    """The seed sample's vectors per language against the parameters."""
+    return sample_sizes(seed_sample(_vectors(spark, sf_dir, WIDE), WIDE), WIDE)
 
 
 def q_assign(spark, sf_dir):
-    vectors, init = _seeded(spark, sf_dir, WIDE)
-    return assign(vectors, init).select("question_id", "x", "y", "cid")
+    vectors = cut_lineage(_vectors(spark, sf_dir, WIDE))  # read by the seed sample and the assignment
+    return assign(vectors, initial_centers(vectors, WIDE)).select("question_id", "x", "y", "cid")
 
 
 def _step_centers(spark, sf_dir):
     init, points = seed_and_points(_vectors(spark, sf_dir, WIDE), WIDE)
     start = init + [(len(init), *FAR_CENTER)]
-    return start, kmeans_step(points, start)
+    moved = kmeans_step(points, start)
+    points.unpersist()
+    return start, moved
 
 
 def q_kmeans_step(spark, sf_dir):
@@ -142,12 +149,8 @@ def q_kmeans_step(spark, sf_dir):
 
 def q_center_shift(spark, sf_dir):
     start, moved = _step_centers(spark, sf_dir)
-    old = centers_frame(spark, start).select("cid", F.col("mx").alias("ox"), F.col("my").alias("oy"))
-    new = centers_frame(spark, moved)
-    dx = F.col("mx").cast("double") - F.col("ox").cast("double")
-    dy = F.col("my").cast("double") - F.col("oy").cast("double")
-    total = old.join(new, "cid").agg(F.sum(dx * dx + dy * dy).alias("total_shift"))
-    return total.select("total_shift", (F.col("total_shift") < F.lit(WIDE.eta)).alias("converged"))
+    shift = total_shift([(x, y) for _, x, y in start], [(x, y) for _, x, y in moved])
+    return spark.createDataFrame([(shift, converged(shift, WIDE))], "total_shift DOUBLE, converged BOOLEAN")
 
 
 def _fitted(spark, sf_dir, params):
@@ -155,23 +158,30 @@ def _fitted(spark, sf_dir, params):
     return points, result
 
 
+def _fit_result(spark, sf_dir, params):
+    """A fit of which only the centers or the trace are wanted."""
+    points, result = _fitted(spark, sf_dir, params)
+    points.unpersist()
+    return result
+
+
 def q_kmeans_fit_wide(spark, sf_dir):
-    _, result = _fitted(spark, sf_dir, WIDE)
+    result = _fit_result(spark, sf_dir, WIDE)
     return centers_frame(spark, result.centers)
 
 
 def q_kmeans_fit_narrow(spark, sf_dir):
-    _, result = _fitted(spark, sf_dir, NARROW)
+    result = _fit_result(spark, sf_dir, NARROW)
     return centers_frame(spark, result.centers)
 
 
 def q_kmeans_trace_capped(spark, sf_dir):
-    _, result = _fitted(spark, sf_dir, CAPPED)
+    result = _fit_result(spark, sf_dir, CAPPED)
     return trace_frame(spark, result)
 
 
 def q_kmeans_trace(spark, sf_dir):
-    _, result = _fitted(spark, sf_dir, WIDE)
+    result = _fit_result(spark, sf_dir, WIDE)
     return trace_frame(spark, result)
 
 
@@ -213,6 +223,8 @@ QUERIES: dict[str, Query] = {
     "q_sample_per_language": q_sample_per_language,
     "q_sample_global": q_sample_global,
     "q_sample_bernoulli": q_sample_bernoulli,
+    "q_sample_poisson": q_sample_poisson,
+    "q_sample_sizes": q_sample_sizes,
     "q_assign": q_assign,
     "q_kmeans_step": q_kmeans_step,
     "q_center_shift": q_center_shift,

@@ -3,8 +3,7 @@
 Each statement computes the same result as the Spark query from the same
 tables, written independently as plain SQL: the k-means fit is a recursive
 CTE, the seed sample a ``row_number`` over the same md5 keys, the median a
-``median`` over all rows of a group. ``q_sample_bernoulli`` has none, as it is
-random by design. Column names and types follow the Spark
+``median`` over all rows of a group. Column names and types follow the Spark
 results (sums are cast back to BIGINT, DuckDB's ``//`` truncates toward zero
 like Spark's ``div``).
 """
@@ -13,7 +12,6 @@ from __future__ import annotations
 
 from postclust.params import Params
 from postclust.plans.catalog import CAPPED, FAR_CENTER, KNOWN_ONLY, NARROW, UNKNOWN, WIDE
-from postclust.sources.report import REPORT_HEADER, REPORT_ROW_FORMAT
 
 
 def _lit(s: str) -> str:
@@ -22,11 +20,14 @@ def _lit(s: str) -> str:
 
 POSTINGS = """
 postings AS (
-  SELECT 1 AS posting_type, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted_answer,
-         CAST(NULL AS BIGINT) AS parent_id, 0 AS score, o_orderpriority AS tags
+  SELECT 1 AS posting_type, CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey - 1 ELSE o_orderkey END AS id,
+         CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey * 10 + 1 AS BIGINT) END AS accepted_answer,
+         CAST(NULL AS BIGINT) AS parent_id, CAST(o_orderkey % 41 - 20 AS INTEGER) AS score, o_orderpriority AS tags
   FROM orders
   UNION ALL
-  SELECT 2, l_orderkey * 10 + l_linenumber, CAST(NULL AS BIGINT), l_orderkey,
+  SELECT CASE WHEN (l_orderkey * 10 + l_linenumber) % 89 = 0 THEN 3 ELSE 2 END,
+         l_orderkey * 10 + l_linenumber, CAST(NULL AS BIGINT),
+         CASE WHEN (l_orderkey * 10 + l_linenumber) % 97 <> 0 THEN l_orderkey END,
          CAST(floor(l_extendedprice / 100) AS INTEGER) - 300, CAST(NULL AS VARCHAR)
   FROM lineitem),
 q AS (
@@ -34,7 +35,9 @@ q AS (
   FROM postings WHERE posting_type = 1),
 a AS (
   SELECT parent_id AS question_id, id AS answer_id, score AS answer_score
-  FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL),
+  FROM postings WHERE posting_type = 2 AND parent_id IS NOT NULL)"""
+
+SCORED = POSTINGS + """,
 scored AS (
   SELECT uq.question_id, uq.m.t AS tags, uq.m.s AS question_score, uq.m.a AS accepted_answer,
          greatest(0, ba.best) AS high_score
@@ -136,6 +139,20 @@ def _lang_array(params: Params) -> str:
     return "[" + ", ".join(_lit(l) for l in params.langs) + "]"
 
 
+def _uniform(key: str) -> str:
+    """The first 52 bits of the row's md5, as a number in [0, 1)."""
+    return f"(CAST('0x' || substr(md5('0:' || CAST({key} AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+def _poisson_steps(rate: float) -> str:
+    """``p``: the probability of a Poisson count of at most 0, 1, 2, ... 17."""
+    return f"""
+      WITH RECURSIVE s(k, term, p) AS (
+        SELECT 0, exp(-{rate}::DOUBLE), exp(-{rate}::DOUBLE)
+        UNION ALL SELECT k + 1, term * ({rate}::DOUBLE / (k + 1)), p + term * ({rate}::DOUBLE / (k + 1)) FROM s WHERE k < 17)
+      SELECT p FROM s"""
+
+
 # ---- parser ------------------------------------------------------------------
 
 def _render(src: str) -> str:
@@ -189,23 +206,33 @@ def _feed_sql() -> str:
             "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 
 
+# The report's text, spelled out here so that a wrong layout shows.
+HEADER_LINES = [
+    "Resulting clusters:",
+    "  Score  Dominant language (%percent)  Questions",
+    "================================================",
+]
+ROW_FORMAT = "%7d  %-17s (%-5s%%)      %7d"  # the percentage is rounded half up to one place before
+
+
 # ---- statements --------------------------------------------------------------
 
 def _report_sql(params: Params) -> str:
     header = " UNION ALL ".join(
-        f"SELECT {i + 1} AS line_no, {_lit(t)} AS line" for i, t in enumerate(REPORT_HEADER)
+        f"SELECT {i + 1} AS line_no, {_lit(t)} AS line" for i, t in enumerate(HEADER_LINES)
     )
-    return (_with(POSTINGS, _vec(params), _seed(params), _fit(params), _summary_ctes(params))
+    return (_with(SCORED, _vec(params), _seed(params), _fit(params), _summary_ctes(params))
             + f"""
 SELECT CAST(line_no AS INTEGER) AS line_no, line FROM ({header}) h
 UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY median_score, cid) + {len(REPORT_HEADER)} AS INTEGER) AS line_no,
-       printf({_lit(REPORT_ROW_FORMAT)}, median_score, lang, pct, size) AS line
+SELECT CAST(row_number() OVER (ORDER BY median_score, cid) + {len(HEADER_LINES)} AS INTEGER) AS line_no,
+       printf({_lit(ROW_FORMAT)}, median_score, lang,
+         CAST(round(CAST(pct AS DECIMAL(18, 12)), 1) AS DECIMAL(18, 1))::VARCHAR, size) AS line
 FROM summary""")
 
 
 def _trace_sql(params: Params) -> str:
-    return _with(POSTINGS, _vec(params), _seed(params), _fit(params)) + f"""
+    return _with(SCORED, _vec(params), _seed(params), _fit(params)) + f"""
 SELECT CAST(k.it AS INTEGER) AS it, CAST(k.cid AS INTEGER) AS cid,
        CAST(p.mx AS INTEGER) AS old_x, CAST(p.my AS INTEGER) AS old_y,
        CAST(k.mx AS INTEGER) AS new_x, CAST(k.my AS INTEGER) AS new_y,
@@ -216,7 +243,7 @@ FROM km k JOIN km p ON p.it = k.it - 1 AND p.cid = k.cid"""
 
 def _step_sql(select: str) -> str:
     far = f"SELECT CAST((SELECT count(*) FROM seed) AS INTEGER) AS cid, {FAR_CENTER[0]} AS mx, {FAR_CENTER[1]} AS my"
-    return (_with(POSTINGS, _vec(WIDE), _seed(WIDE))
+    return (_with(SCORED, _vec(WIDE), _seed(WIDE))
             + f""",
 start AS (SELECT cid, x AS mx, y AS my FROM seed UNION ALL {far}),
 moved AS (
@@ -226,8 +253,8 @@ moved AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    base = _with(POSTINGS)
-    wide_vec = _with(POSTINGS, _vec(WIDE))
+    base = "WITH " + POSTINGS
+    wide_vec = _with(SCORED, _vec(WIDE))
     return {
         "q_parse_postings": _with(POSTINGS, _parse_ctes(f"SELECT {_render('postings')}"))
         + f"\nSELECT {_parsed_columns()} FROM checked",
@@ -247,20 +274,28 @@ FROM q LEFT JOIN a ON a.question_id = q.question_id""",
         "q_grouped_counts": base + """
 SELECT q.question_id, CAST(count(*) AS BIGINT) AS n_pairs
 FROM q JOIN a ON a.question_id = q.question_id GROUP BY q.question_id""",
-        "q_scored_questions": base
+        "q_scored_questions": "WITH " + SCORED
         + "\nSELECT question_id, tags, question_score, accepted_answer, high_score FROM scored",
         "q_vectors": wide_vec + "\nSELECT question_id, x, y FROM vec",
-        "q_vectors_unknown": _with(POSTINGS, _vec(UNKNOWN)) + "\nSELECT question_id, x, y FROM vec",
-        "q_lang_labels": _with(POSTINGS, _vec(UNKNOWN)) + f"""
+        "q_vectors_unknown": _with(SCORED, _vec(UNKNOWN)) + "\nSELECT question_id, x, y FROM vec",
+        "q_lang_labels": _with(SCORED, _vec(UNKNOWN)) + f"""
 SELECT question_id, x, CAST(x // {UNKNOWN.spread} AS INTEGER) AS lang_index,
        ({_lang_array(UNKNOWN)})[CAST(x // {UNKNOWN.spread} AS INTEGER) + 1] AS lang
 FROM vec""",
         "q_weighted_points": wide_vec + "\nSELECT x, y, n FROM w",
-        "q_sample_per_language": _with(POSTINGS, _vec(WIDE), _seed(WIDE))
+        "q_sample_per_language": _with(SCORED, _vec(WIDE), _seed(WIDE))
         + "\nSELECT cid, question_id, x, y FROM seed",
-        "q_sample_global": _with(POSTINGS, _vec(NARROW), _seed(NARROW))
+        "q_sample_global": _with(SCORED, _vec(NARROW), _seed(NARROW))
         + "\nSELECT cid, question_id, x, y FROM seed",
-        "q_assign": _with(POSTINGS, _vec(WIDE), _seed(WIDE)) + f"""
+        "q_sample_bernoulli": wide_vec + f"""
+SELECT question_id, x, y FROM vec WHERE {_uniform("question_id")} < 0.1""",
+        "q_sample_poisson": wide_vec + f"""
+SELECT question_id, x, y FROM (
+  SELECT question_id, x, y, unnest(range((SELECT count(*) FROM ({_poisson_steps(0.5)}) WHERE p <= u))) AS draw
+  FROM (SELECT *, {_uniform("question_id")} AS u FROM vec))""",
+        "q_sample_sizes": _with(SCORED, _vec(WIDE), _seed(WIDE)) + f"""
+SELECT x, count(*) AS n, count(*) = {WIDE.per_lang} AS complete FROM seed GROUP BY x""",
+        "q_assign": _with(SCORED, _vec(WIDE), _seed(WIDE)) + f"""
 SELECT v.question_id, v.x, v.y, arg_min(s.cid, ({_dist('v.x', 'v.y', 's.x', 's.y')}, s.cid)) AS cid
 FROM vec v CROSS JOIN seed s GROUP BY v.question_id, v.x, v.y""",
         "q_kmeans_step": _step_sql("SELECT cid, mx, my FROM moved"),
@@ -268,19 +303,19 @@ FROM vec v CROSS JOIN seed s GROUP BY v.question_id, v.x, v.y""",
 SELECT sum({_dist('m.mx', 'm.my', 's.mx', 's.my')}) AS total_shift,
        sum({_dist('m.mx', 'm.my', 's.mx', 's.my')}) < {float(WIDE.eta)!r} AS converged
 FROM moved m JOIN start s ON m.cid = s.cid"""),
-        "q_kmeans_fit_wide": _with(POSTINGS, _vec(WIDE), _seed(WIDE), _fit(WIDE))
+        "q_kmeans_fit_wide": _with(SCORED, _vec(WIDE), _seed(WIDE), _fit(WIDE))
         + "\nSELECT CAST(cid AS INTEGER) AS cid, CAST(mx AS INTEGER) AS mx, CAST(my AS INTEGER) AS my FROM final",
-        "q_kmeans_fit_narrow": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW))
+        "q_kmeans_fit_narrow": _with(SCORED, _vec(NARROW), _seed(NARROW), _fit(NARROW))
         + "\nSELECT CAST(cid AS INTEGER) AS cid, CAST(mx AS INTEGER) AS mx, CAST(my AS INTEGER) AS my FROM final",
         "q_kmeans_trace": _trace_sql(WIDE),
         "q_kmeans_trace_capped": _trace_sql(CAPPED),
-        "q_cluster_lang_counts": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
+        "q_cluster_lang_counts": _with(SCORED, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
         + "\nSELECT cid, x, n, median_score FROM per_lang",
-        "q_cluster_summary": _with(POSTINGS, _vec(WIDE), _seed(WIDE), _fit(WIDE), _summary_ctes(WIDE))
+        "q_cluster_summary": _with(SCORED, _vec(WIDE), _seed(WIDE), _fit(WIDE), _summary_ctes(WIDE))
         + "\nSELECT cid, lang, pct, size, median_score FROM summary",
-        "q_cluster_summary_narrow": _with(POSTINGS, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
+        "q_cluster_summary_narrow": _with(SCORED, _vec(NARROW), _seed(NARROW), _fit(NARROW), _summary_ctes(NARROW))
         + "\nSELECT cid, lang, pct, size, median_score FROM summary",
-        "q_cluster_summary_known": _with(POSTINGS, _vec(KNOWN_ONLY), _seed(KNOWN_ONLY), _fit(KNOWN_ONLY),
+        "q_cluster_summary_known": _with(SCORED, _vec(KNOWN_ONLY), _seed(KNOWN_ONLY), _fit(KNOWN_ONLY),
                                          _summary_ctes(KNOWN_ONLY))
         + "\nSELECT cid, lang, pct, size, median_score FROM summary",
         "q_report": _report_sql(NARROW),

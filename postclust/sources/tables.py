@@ -2,8 +2,9 @@
 
 There is no posting file among the driver tables, so a fixed mapping turns them
 into postings: every order is a question tagged with its priority, every line
-item is an answer to its order scored from its price. All queries of the
-library read postings through this mapping, so their work grows with the
+item is an answer to its order scored from its price. By their keys some orders
+name an accepted answer or repeat another question's id, and some line items lack
+a parent or are of another type. All queries of the library read postings through this mapping, so their work grows with the
 tables.
 """
 
@@ -21,6 +22,13 @@ PRIORITY_LANGS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 ANSWER_ID_FACTOR = 10      # answer id = l_orderkey * 10 + l_linenumber
 SCORE_PRICE_UNIT = 100     # answer score = floor(l_extendedprice / 100) - 300
 SCORE_OFFSET = 300
+QUESTION_SCORES = 41       # question score = o_orderkey % 41 - 20
+QUESTION_SCORE_OFFSET = 20
+ACCEPTED_EVERY = 4         # orders whose first line item is the accepted answer
+REPEATED_EVERY = 50        # orders that repeat the question id before theirs
+ORPHAN_EVERY = 97          # line items (by answer id) without a parent
+OTHER_TYPE_EVERY = 89      # line items (by answer id) of another posting type
+OTHER_TYPE = 3
 # -----------------------------------------------------------------------------
 
 # Parameters of the analysis over the driver tables: 5 languages x 3 = 15 centers.
@@ -32,22 +40,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def question_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
     return read_table(spark, sf_dir, "orders").select(
         F.lit(1).alias("posting_type"),
-        F.col("o_orderkey").alias("id"),
-        F.lit(None).cast("bigint").alias("accepted_answer"),
+        F.when(key % REPEATED_EVERY == 0, key - 1).otherwise(key).alias("id"),
+        F.when(key % ACCEPTED_EVERY == 0, key * ANSWER_ID_FACTOR + 1).cast("bigint").alias("accepted_answer"),
         F.lit(None).cast("bigint").alias("parent_id"),
-        F.lit(0).alias("score"),
+        (key % QUESTION_SCORES - QUESTION_SCORE_OFFSET).cast("int").alias("score"),
         F.col("o_orderpriority").alias("tags"),
     )
 
 
 def answer_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("l_orderkey") * ANSWER_ID_FACTOR + F.col("l_linenumber")
     return read_table(spark, sf_dir, "lineitem").select(
-        F.lit(2).alias("posting_type"),
-        (F.col("l_orderkey") * ANSWER_ID_FACTOR + F.col("l_linenumber")).alias("id"),
+        F.when(key % OTHER_TYPE_EVERY == 0, OTHER_TYPE).otherwise(2).alias("posting_type"),
+        key.alias("id"),
         F.lit(None).cast("bigint").alias("accepted_answer"),
-        F.col("l_orderkey").alias("parent_id"),
+        F.when(key % ORPHAN_EVERY != 0, F.col("l_orderkey")).alias("parent_id"),
         (F.floor(F.col("l_extendedprice") / SCORE_PRICE_UNIT).cast("int") - SCORE_OFFSET).alias("score"),
         F.lit(None).cast("string").alias("tags"),
     )
@@ -56,7 +66,7 @@ def answer_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def postings_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All postings: questions from ``orders`` and answers from ``lineitem``.
 
-    A filter on ``posting_type`` above this union folds to ``false`` in the
-    other branch, so each side scans only its own table.
+    A filter on ``posting_type`` above this union reaches both scans; in the
+    branch of the questions it folds.
     """
     return question_postings(spark, sf_dir).unionByName(answer_postings(spark, sf_dir))

@@ -71,15 +71,6 @@ def test_multi_partition_points_give_same_fit(postings, analysis, monkeypatch):
     assert sorted(map(tuple, split.summary.collect())) == sorted(map(tuple, analysis.summary.collect()))
 
 
-def test_compiled_search_gives_same_fit(postings, analysis, monkeypatch):
-    import postclust.operators.kmeans as km
-
-    monkeypatch.setattr(km, "INTERPRETED_SEARCH_MAX_WORK", 0)
-    compiled = run_analysis(postings, TABLE_PARAMS)
-    assert compiled.result.centers == analysis.result.centers
-    assert compiled.result.trace == analysis.result.trace
-
-
 def test_without_checkpoint_folder(postings, analysis, monkeypatch):
     import postclust.session as session
 
@@ -87,3 +78,26 @@ def test_without_checkpoint_folder(postings, analysis, monkeypatch):
     cached = run_analysis(postings, TABLE_PARAMS)
     assert cached.result.centers == analysis.result.centers
     assert sorted(map(tuple, cached.summary.collect())) == sorted(map(tuple, analysis.summary.collect()))
+
+
+def executed(df):
+    """The final plan and, apart, what lies below its cached relations."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_stay_cached_until_released(spark, postings, monkeypatch):
+    import postclust.session as session
+
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: None)
+    run = run_analysis(postings, TABLE_PARAMS)
+    plan = run.summary._jdf.queryExecution().withCachedData().toString()
+    assert "InMemoryRelation" in plan
+    assert run.points.storageLevel.useMemory
+    physical = executed(run.summary)
+    assert "InMemoryTableScan" in physical
+    # every scan of a file lies below the cached relation
+    above = physical.split("InMemoryRelation")[0]
+    assert "FileScan" not in above
+    run.release()
+    assert not run.points.storageLevel.useMemory

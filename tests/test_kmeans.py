@@ -148,33 +148,37 @@ def test_step_matches_grouped_means(spark, sf_small):
     vec = _vectors(spark, sf_small, WIDE)
     init = initial_centers(vec, WIDE)
     pts = prepare_points(vec)
-    grouped = {r["cid"]: (r["mx"], r["my"]) for r in cluster_means(pts, init).collect()}
-    stepped = kmeans_step(pts, init)
-    assert [(c, *grouped.get(c, (x, y))) for c, x, y in init] == stepped
+    # the same means from literal centers and plain sums
+    sums = assign(pts, init).groupBy("cid").agg({"n": "sum"}).collect()
+    assert {r["cid"]: r["sum(n)"] for r in sums} == {r["pos"]: r["size"] for r in cluster_means(pts, init).collect()}
+    assert [c for c, _, _ in kmeans_step(pts, init)] == [c for c, _, _ in init]
     # one-partition points: the step is a single stage without exchange
-    from postclust.functions.geometry import nearest_center_sql
-    plan = pts.selectExpr("x", "y", "n", f"{nearest_center_sql('x', 'y', init)} AS cid") \
-        .groupBy("cid").agg({"n": "sum"})._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    plan = cluster_means(pts, init)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_interpreted_and_compiled_search_agree(spark, vectors):
+def test_step_code_does_not_change_with_the_centers(spark, vectors):
+    """The centers reach the plan as a subquery, so nothing in the expression differs."""
+    import re
+
+    from postclust.operators.kmeans import assign_by_position
+
     pts = weigh_points(vectors)
-    for centers in (MEANS, [(0, 50000, 50), (1, 50000, 50), (2, 200000, 150)], [(3, 0, 0), (7, 50000, 70)]):
-        a = kmeans_step(pts, centers, interpreted=True)
-        b = kmeans_step(pts, centers, interpreted=False)
-        assert a == b
+    shapes = set()
+    for moved in (0, 7):
+        plan = assign_by_position(pts, [(c, x + moved, y) for c, x, y in MEANS])._jdf.queryExecution().optimizedPlan()
+        shapes.add(re.sub(r"#\d+L?", "", plan.toString()))
+    assert len(shapes) == 1
 
 
-def test_print_trace(vectors, capsys):
-    from postclust.sources.report import print_trace
+def test_literal_and_subquery_centers_agree(spark, vectors):
+    from postclust.operators.kmeans import assign_by_position
 
-    result = fit(weigh_points(vectors), MEANS, PARAMS)
-    print_trace(result, PARAMS.eta)
-    out = capsys.readouterr().out.splitlines()
-    assert out[0] == "Iteration: 1" and out[1] == "  * current distance: 4100.0"
-    assert out[4].strip().startswith("(0,10) ==>")
-    assert len(out) == 2 * (4 + len(MEANS))
+    pts = weigh_points(vectors)
+    for centers in (MEANS, [(0, 50000, 50), (1, 50000, 50), (2, 200000, 150)], [(3, 0, 0), (7, 50000, 70)]):
+        a = sorted((r["x"], r["y"], r["cid"]) for r in assign(pts, centers).collect())
+        b = sorted((r["x"], r["y"], centers[r["pos"]][0]) for r in assign_by_position(pts, centers).collect())
+        assert a == b
 
 
 def test_centroid_sums_beyond_bigint(spark):
@@ -183,7 +187,6 @@ def test_centroid_sums_beyond_bigint(spark):
     big = 2_000_000_000
     pts = spark.createDataFrame([(big, 1, 10**10), (big, 4, 10**10)], "x INT, y INT, n BIGINT")
     # x * n summed is 4e19, past the BIGINT range
-    for interpreted in (True, False):
-        assert kmeans_step(pts, [(0, big, 0)], interpreted=interpreted) == [(0, big, 2)]
+    assert kmeans_step(pts, [(0, big, 0)]) == [(0, big, 2)]
     row = cluster_means(pts, [(0, big, 0)]).collect()[0]
     assert (row["mx"], row["my"], row["size"]) == (big, 2, 2 * 10**10)

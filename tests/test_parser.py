@@ -86,3 +86,26 @@ def test_text_scan_windows_line_endings(spark, tmp_path):
     path.write_bytes(b"1,6,,,50,CSS\r\n2,17,,6,60\r\n")
     rows = parse_postings(read_lines(spark, str(path)), mode="failfast").postings.collect()
     assert sorted((r["id"], r["score"], r["tags"]) for r in rows) == [(6, 50, "CSS"), (17, 60, None)]
+
+
+FAILING_CONSUMERS = {
+    "count": lambda df: df.count(),
+    "select score": lambda df: df.select("score").collect(),
+    "filter and count": lambda df: df.filter("score > 0").count(),
+    "group": lambda df: df.groupBy("score").count().collect(),
+    "select two": lambda df: df.select("tags", "parent_id").collect(),
+}
+
+
+@pytest.mark.parametrize("consumer", FAILING_CONSUMERS)
+def test_failfast_holds_for_every_consumer(spark, consumer):
+    lines = spark.createDataFrame([("1,1,,,5,Java",), ("1,2,,,x,Java",), ("2,3,,1,4",)], "value STRING")
+    with pytest.raises(Exception, match="bad posting line"):
+        FAILING_CONSUMERS[consumer](parse_postings(lines, mode="failfast").postings)
+
+
+def test_failfast_compiles_the_checks_once(spark):
+    """The guard reads the reason that the generator made; it doesn't repeat the checks."""
+    lines = spark.createDataFrame([("1,1,,,5,Java",)], "value STRING")
+    plan = parse_postings(lines, mode="failfast").postings._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posting_type: missing") == 1

@@ -77,3 +77,18 @@ def test_params_checks():
         Params(spread=0)
     assert Params(langs=FIVE_LANGS, spread=100).global_sample
     assert not Params().global_sample
+
+
+def test_fraction_samples_do_not_depend_on_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from postclust.operators.sampling import poisson_steps, sample_fraction
+
+    vectors = spark.range(4000).select(F.col("id").alias("question_id"), F.lit(1).alias("x"), F.lit(2).alias("y"))
+    for replace, fraction in ((False, 0.25), (True, 0.5)):
+        one = sorted(r["question_id"] for r in sample_fraction(vectors.coalesce(1), fraction, replace, 3).collect())
+        many = sorted(r["question_id"] for r in sample_fraction(vectors.repartition(7), fraction, replace, 3).collect())
+        assert one == many
+        assert abs(len(one) / 4000 - fraction) < 0.05
+        assert (len(set(one)) < len(one)) == replace
+    assert abs(poisson_steps(1.0)[-1] - 1) < 1e-12

@@ -14,7 +14,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from postclust.functions.geometry import nearest_center_interpreted_sql  # noqa: E402
+from postclust.operators.kmeans import cluster_means  # noqa: E402
 from postclust.plans.analysis import seed_and_points  # noqa: E402
 from postclust.plans.catalog import QUERIES, WIDE, _vectors  # noqa: E402
 from postclust.session import build_session  # noqa: E402
@@ -37,7 +37,7 @@ def _plan(df) -> str:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
-        checkpoint_dir=tempfile.mkdtemp(prefix="plans-ckpt-", dir="/tmp"),
+        checkpoint_dir=tempfile.mkdtemp(prefix="plans-ckpt-"),
         extra_conf={"spark.ui.showConsoleProgress": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"},
     )
     print("# Physical plans\n")
@@ -47,13 +47,7 @@ def main(argv):
     for name, title in SHOWN:
         print(f"## {name}: {title}\n\n```\n{_plan(QUERIES[name](spark, sf_dir))}```\n")
     init, points = seed_and_points(_vectors(spark, sf_dir, WIDE), WIDE)
-    points.createOrReplaceTempView("points")
-    step = spark.sql(
-        "SELECT cid, CAST(sum(CAST(x AS BIGINT) * n) div sum(n) AS INT) AS mx, "
-        "CAST(sum(CAST(y AS BIGINT) * n) div sum(n) AS INT) AS my FROM ("
-        f"SELECT x, y, n, CAST({nearest_center_interpreted_sql('x', 'y', init)} AS INT) AS cid FROM points) "
-        "GROUP BY cid"
-    )
+    step = cluster_means(points, init)
     print(f"## one fit step (K1) over the cached single-partition points\n\n```\n{_plan(step)}```")
 
 
