@@ -3,7 +3,11 @@ that survive hot keys, and joins with a list of checked size."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors import this package if nothing else does: unless it is on
+    PYTHONPATH or in the working folder, Spark distributes it as a zip file."""
+    root = Path(__file__).resolve().parents[2]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(root) in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="postclust-"), "postclust.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "postclust").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see: the one the cluster names
     in ``spark.checkpoint.dir``, else the warehouse."""

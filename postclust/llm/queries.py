@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postclust.llm.best_fit import pack
-from postclust.llm.common import read_table
+from postclust.llm.common import read_table, ship_package
 from postclust.llm.decontaminate import contaminated, contamination
 from postclust.llm.ego_join import near_vectors
 from postclust.llm.language_id import identify
@@ -71,7 +73,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (
+def shipped(query):
+    """The query, after a look whether the executors can import the operators."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: shipped(f) for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
     op6_secret_scans, op7_language_id, op8_embedding_near_dedup,
     op9_substring_dedup, op10_line_dedup,
