@@ -1,0 +1,186 @@
+"""Operators 4, 8 and 9 and the components against brute force."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from conftest import EDGE_ROWS, prose
+
+from postclust.llm.components import connected_components
+from postclust.llm.ego_join import near_vectors
+from postclust.llm.lz_spans import blocks_of, dedup_spans
+from postclust.llm.simhash import near_groups, near_links
+
+
+def roots_of(n, links):
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    return [root(i) for i in range(n)]
+
+
+def least_ids(ids, links):
+    roots = roots_of(len(ids), links)
+    least = {}
+    for i, r in zip(ids, roots):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    return [least.get(r) for r in roots]
+
+
+def fingerprint(text, k=3):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] if len(words) >= k else [b" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash(edge_docs, no_docs):
+    texts = [(i, t) for i, t, _ in EDGE_ROWS]
+    prints = [fingerprint(t) for _, t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    want = Counter(zip([i for i, _ in texts], prints, least_ids([i for i, _ in texts], links)))
+    got = Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in near_groups(edge_docs).collect())
+    assert got == want
+    assert near_groups(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
+def test_hamming_balls_lose_no_link(spark, bits):
+    rng = random.Random(bits)
+    prints = set()
+    for _ in range(40):
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for _ in range(6):
+            prints.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    want = {tuple(sorted((a, b))) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= bits}
+    got = {(r.a, r.b) for r in near_links(spark.createDataFrame([(p,) for p in signed], "fp long"), bits).collect()}
+    assert got == want
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, 100 + i) for i in range(1, 60)]
+    mixed = [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
+    links = chain + star + mixed + [(7, 7)] + [(b, a) for a, b in chain[:5]]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    nodes = sorted({n for l in links if l[0] != l[1] for n in l})
+    place = {n: i for i, n in enumerate(nodes)}
+    want = least_ids(nodes, [(place[a], place[b]) for a, b in links if a != b])
+    assert got == dict(zip(nodes, want))
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def vectors():
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(160):
+        label = int(rng.integers(0, 3))
+        base = rng.normal(size=8)
+        rows.append((k, base.tolist(), label))
+        if k % 4 == 0:
+            rows += [(1000 + 4 * k + j, (base * (1 + j) + rng.normal(size=8) * 0.08 * j).tolist(), label if j < 3 else 9) for j in range(4)]
+    rows += [(5000, rows[0][1], rows[0][2]), (5001, rows[0][1], None), (None, rows[0][1], rows[0][2]), (5002, None, 1), (5003, [], 1),
+             (5004, [0.0] * 8, 1), (5005, [float("nan")] * 8, 1), (5006, [None] * 8, 1), (5007, [float("inf")] + [1.0] * 7, 1),
+             (5008, [1.0, 2.0], 1), (5009, [1.0, 2.0], 1), (5010, [1e30, 2e30], 1), (5000, rows[0][1], rows[0][2])]
+    return rows
+
+
+def test_embeddings(spark):
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("class", F.lit(1)).repartition(4)
+    data = [(r.vec_id, r.embedding, r.label) for r in frame.collect()]
+    unit = []
+    for _, e, label in data:
+        x = np.array([np.nan if c is None else c for c in e or []], dtype=np.float64)
+        ok = label is not None and len(x) and np.isfinite(x).all() and x.any()
+        unit.append(x / np.linalg.norm(x) if ok else None)
+    links = [(a, b) for a in range(len(data)) for b in range(a)
+             if unit[a] is not None and unit[b] is not None and data[a][2] == data[b][2] and len(unit[a]) == len(unit[b])
+             and unit[a] @ unit[b] >= 0.98]
+    degree = Counter(i for l in links for i in l)
+    component = least_ids([d[0] for d in data], links)
+    want = Counter((d[0], degree[i], component[i], d[0] == component[i]) for i, d in enumerate(data))
+    assert Counter(map(tuple, near_vectors(frame).collect())) == want
+    assert near_vectors(frame.where("false")).count() == 0
+
+
+def test_embedding_blocks_of_one_label_meet(spark, monkeypatch):
+    """Many small blocks and leaves give the same links as one."""
+    import postclust.llm.ego_join as ego
+
+    frame = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int")
+    one = Counter(map(tuple, near_vectors(frame).collect()))
+    monkeypatch.setattr(ego, "BLOCK", 7)
+    monkeypatch.setattr(ego, "LEAF", 3)
+    monkeypatch.setattr(ego, "SAMPLE", 20)
+    assert Counter(map(tuple, near_vectors(frame).collect())) == one
+
+
+def kept_words(rows, window):
+    """Brute force: ``(doc_id, words, removed, kept)``."""
+    first = {}
+    split = [(t or "").encode().split() for _, t in rows]
+    rank = lambda i: (i is None, i)
+    for (i, _), words in zip(rows, split):
+        for s in range(len(words) - window + 1):
+            key = tuple(words[s:s + window])
+            first[key] = min(first.get(key, rank(i)), rank(i))
+    out = Counter()
+    for (i, _), words in zip(rows, split):
+        gone = set()
+        for s in range(len(words) - window + 1):
+            if first[tuple(words[s:s + window])] < rank(i):
+                gone.update(range(s, s + window))
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone).decode()
+        out[i, len(words), len(gone), kept] += 1
+    return out
+
+
+def spans_rows(frame, **settings):
+    return Counter((r.doc_id, r.n_words, sum(s.end - s.begin for s in r.spans), r.text) for r in dedup_spans(frame, **settings).collect())
+
+
+def test_substrings(spark, edge_docs, no_docs):
+    assert spans_rows(edge_docs) == kept_words([(i, t) for i, t, _ in EDGE_ROWS], 50)
+    assert dedup_spans(no_docs).count() == 0
+
+
+def test_substrings_with_shared_passages(spark):
+    rng = random.Random(4)
+    passage, tail = prose(64, 77), prose(51, 78)
+    rows = []
+    for i in range(60):
+        parts = [prose(rng.randint(0, 40), 1000 + i)]
+        if i % 3 == 0:
+            parts.append(passage)
+        if i % 4 == 0:
+            words = passage.split()
+            words[rng.randint(0, 63)] = "changed"
+            parts.append(" ".join(words))
+        if i % 5 == 0:
+            parts.append(tail * 1)
+        rows.append((rng.randint(0, 50), "  ".join(parts)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert spans_rows(frame) == kept_words(rows, 50)
+    assert spans_rows(frame, window=12, gram=3) == kept_words(rows, 12)
+
+
+def test_blocks_cover_every_window_once():
+    words = (prose(200, 3) + " " + "same " * 120).encode().split()
+    _, _, start, windows = blocks_of(words, 50, 8)
+    covered = [w for s, m in zip(start.tolist(), windows.tolist()) for w in range(s, s + m)]
+    assert covered == list(range(len(words) - 49))
