@@ -111,3 +111,55 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN n USING (vec_id)
 """
+
+LINES = r"""
+WITH line AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS said, unnest(range(len(string_split(text, chr(10))))) AS line_no
+    FROM documents WHERE text IS NOT NULL
+), word AS (
+    SELECT doc_id, line_no, said, list_transform(regexp_extract_all(said, '[^ \t\n\x0B\f\r]+'),
+        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws
+    FROM line
+), formed AS (
+    SELECT doc_id, line_no, ws, len(ws) || '|' || array_to_string(ws[1:3], ' ') AS leaf, array_to_string(ws, ' ') AS form
+    FROM word WHERE len(ws) >= 3
+), seen AS (
+    SELECT DISTINCT doc_id, leaf, form, ws FROM formed
+), own AS (
+    SELECT leaf, form, min(doc_id) AS own_first FROM seen GROUP BY leaf, form HAVING count(*) >= 3
+), different AS (
+    SELECT DISTINCT leaf, form, ws FROM seen WHERE leaf IN (
+        SELECT leaf FROM seen GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT form) > 1)
+), held AS (
+    SELECT leaf, place, w, count(*) AS n
+    FROM (SELECT leaf, unnest(range(len(ws))) AS place, unnest(ws) AS w FROM different) GROUP BY leaf, place, w
+), most AS (
+    SELECT leaf, place, max(struct_pack(n := n, w := w)) AS m FROM held GROUP BY leaf, place
+), constants AS (
+    SELECT leaf, list(CASE WHEN m.n >= 0.7::DOUBLE * lines THEN m.w END ORDER BY place) AS cs
+    FROM most JOIN (SELECT leaf, count(*) AS lines FROM different GROUP BY leaf) USING (leaf) GROUP BY leaf
+), common_form AS (
+    SELECT leaf, cs FROM (SELECT leaf, cs, len(list_filter(cs[4:], lambda c: c IS NOT NULL)) AS fixed FROM constants)
+    WHERE fixed >= 1 AND fixed >= 0.7::DOUBLE * (len(cs) - 3)
+), matched AS (
+    SELECT leaf, form FROM different JOIN common_form USING (leaf)
+    WHERE len(list_filter(list_zip(ws, cs), lambda p: p[2] IS NOT NULL AND p[1] <> p[2])) = 0
+), shared AS (
+    SELECT leaf, min(doc_id) AS common_first FROM seen JOIN matched USING (leaf, form) GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3
+), template AS (
+    SELECT leaf, form, own_first, common_first
+    FROM own FULL JOIN (SELECT leaf, form, common_first FROM matched JOIN shared USING (leaf)) USING (leaf, form)
+), dropped AS (
+    SELECT doc_id, line_no FROM formed JOIN template USING (leaf, form) WHERE doc_id <> coalesce(common_first, own_first)
+), kept AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(said, chr(10) ORDER BY line_no) AS text
+    FROM line ANTI JOIN dropped USING (doc_id, line_no) GROUP BY doc_id
+), n AS (
+    SELECT doc_id, text, CASE WHEN text IS NULL OR text = '' THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines FROM documents
+), gone AS (
+    SELECT doc_id, count(*) AS n_dropped FROM dropped GROUP BY doc_id
+)
+SELECT doc_id, n_lines::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+    CASE WHEN n_dropped IS NULL THEN n.text ELSE coalesce(kept.text, '') END AS text
+FROM n LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -14,7 +14,7 @@ from postclust.llm.ego_join import near_vectors
 from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
-from postclust.llm.oracle import DECONTAMINATE, EMBEDDINGS, SECRETS, SUBSTRINGS
+from postclust.llm.oracle import DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
@@ -94,4 +94,5 @@ ORACLE = {
     "op6_secret_scans": SECRETS,
     "op8_embedding_near_dedup": EMBEDDINGS,
     "op9_substring_dedup": SUBSTRINGS,
+    "op10_line_dedup": LINES,
 }
