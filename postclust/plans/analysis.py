@@ -2,8 +2,8 @@
 
 Jobs, in order:
 
-1. vectors (scan, two keyed partial aggregates, one co-partitioned join),
-   persisted because two consumers read them;
+1. vectors (one scan, one keyed partial aggregate), persisted because two
+   consumers read them;
 2. seed sample (bounded top-k, <= kernels rows reach the driver);
 3. weighted points ``(x, y, n)`` (partial count), sized into few partitions and
    cut from their lineage (reliable checkpoint in the session's shared
@@ -25,11 +25,10 @@ from pyspark.sql import DataFrame
 
 from postclust.operators.kmeans import Centers, FitResult, fit
 from postclust.operators.sampling import initial_centers
-from postclust.operators.scoring import score_questions
 from postclust.operators.summary import cluster_results
-from postclust.operators.vectors import vectorize, weigh_points
+from postclust.operators.vectors import score_vectors, weigh_points
 from postclust.params import Params
-from postclust.session import cut_lineage
+from postclust.session import ensure_checkpoint_dir
 
 # Weighted points per partition of the persisted fit input; a step's cost is
 # dominated by task overhead well below this size.
@@ -44,17 +43,18 @@ def prepare_points(vectors: DataFrame) -> DataFrame:
     """Weighted points, materialized once for the fit loop and the summary.
 
     The rows are counted to size the table at ``ceil(rows / POINTS_PER_PARTITION)``
-    partitions, cut from their lineage, and cached on top of the cut with that
-    partition count, so that a one-partition table is known as such to the
-    planner and a fit step runs without an exchange.
+    partitions, written to the shared checkpoint folder when there is one, and
+    cached with that partition count, so that a one-partition table is known as
+    such to the planner and a fit step runs without an exchange.
     """
     weighted = weigh_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     rows = weighted.count()
     parts = max(1, math.ceil(rows / POINTS_PER_PARTITION))
-    cut = cut_lineage(weighted.coalesce(parts))  # coalesce never raises the partition count
-    sized = cut.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    sized = weighted.coalesce(parts)  # coalesce never raises the partition count
+    if ensure_checkpoint_dir(sized.sparkSession):
+        sized = sized.checkpoint(eager=True).coalesce(parts)
+    sized = sized.persist(StorageLevel.MEMORY_AND_DISK)
     sized.count()
-    cut.unpersist()
     weighted.unpersist()
     return sized
 
@@ -94,7 +94,7 @@ def fit_vectors(vectors: DataFrame, params: Params, expect_rows: int | None = No
 
 def run_analysis(postings: DataFrame, params: Params, expect_rows: int | None = None) -> Analysis:
     """K5: the whole analysis from postings to the ordered cluster summary."""
-    vectors = vectorize(score_questions(postings), params)
+    vectors = score_vectors(postings, params)
     points, init, result = fit_vectors(vectors, params, expect_rows)
     summary = cluster_results(points, result.centers, params)
     return Analysis(points, init, result, summary)

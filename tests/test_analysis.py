@@ -75,6 +75,7 @@ def test_without_checkpoint_folder(postings, analysis, monkeypatch):
     import postclust.session as session
 
     monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: None)
+    monkeypatch.setattr("postclust.plans.analysis.ensure_checkpoint_dir", lambda spark: None)
     cached = run_analysis(postings, TABLE_PARAMS)
     assert cached.result.centers == analysis.result.centers
     assert sorted(map(tuple, cached.summary.collect())) == sorted(map(tuple, analysis.summary.collect()))
@@ -90,6 +91,7 @@ def test_points_stay_cached_until_released(spark, postings, monkeypatch):
     import postclust.session as session
 
     monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: None)
+    monkeypatch.setattr("postclust.plans.analysis.ensure_checkpoint_dir", lambda spark: None)
     run = run_analysis(postings, TABLE_PARAMS)
     plan = run.summary._jdf.queryExecution().withCachedData().toString()
     assert "InMemoryRelation" in plan

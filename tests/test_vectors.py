@@ -51,3 +51,36 @@ def test_weighted_points(fixture_postings):
     vec = vectorize(score_questions(fixture_postings), Params(langs=FIVE_LANGS))
     pts = {(r["x"], r["y"]): r["n"] for r in weigh_points(vec).collect()}
     assert pts == {(50000, 50): 1, (200000, 150): 1, (50000, 90): 1}
+
+
+def test_one_pass_vectors_equal_the_join(spark, fixture_postings, sf_small):
+    from postclust.operators.scoring import score_questions
+    from postclust.operators.vectors import score_vectors, vectorize
+    from postclust.params import Params
+    from postclust.plans.catalog import KNOWN_ONLY, UNKNOWN, WIDE
+    from postclust.sources.memory import postings_from_rows
+    from postclust.sources.tables import postings_from_tables
+
+    tags = [None, "", "A", "B", "BB", "C", "Z", "é"]
+    rows = [(1, i % 9, None, None, i % 5, tags[i * 7 % 8]) for i in range(40)]
+    rows += [(2, 100 + i, None, i % 12 if i % 7 else None, i % 11 - 5, None) for i in range(60)] + [(3, 5, None, 5, 99, "A")]
+    small = Params(langs=("C", "A", "B"), kernels=3)
+    cases = [(postings_from_rows(spark, rows), small), (postings_from_rows(spark, rows), small.replace(drop_unknown=True)),
+             (fixture_postings, Params()), *[(postings_from_tables(spark, sf_small), p) for p in (WIDE, UNKNOWN, KNOWN_ONLY)]]
+    for postings, params in cases:
+        want = sorted(map(tuple, vectorize(score_questions(postings), params).collect()))
+        assert sorted(map(tuple, score_vectors(postings, params).collect())) == want
+
+
+def test_text_input_is_read_once(spark, tmp_path):
+    from postclust.operators.joins import grouped_counts
+    from postclust.operators.vectors import score_vectors
+    from postclust.params import Params
+    from postclust.sources.text import parse_postings, read_lines
+
+    path = tmp_path / "postings.csv"
+    path.write_text("1,1,,,0,Java\n2,2,,1,5\n")
+    postings = parse_postings(read_lines(spark, str(path))).postings
+    for frame in (score_vectors(postings, Params()), grouped_counts(postings)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1
