@@ -16,8 +16,8 @@ import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
-#: Chunks a worker process remembers in each of two generations (some 100 MB together).
-CACHE_CHUNKS = 350_000
+#: Chunks a worker process remembers (some 100 MB).
+CACHE_CHUNKS = 600_000
 #: Longer chunks are not remembered.
 CACHE_CHUNK_CHARS = 64
 #: Characters of text encoded together.
@@ -25,6 +25,9 @@ BATCH_CHARS = 8_000_000
 #: Chunks that one call of the library encodes as a list.
 CHUNKS_A_CALL = 500
 
+#: Letters after which a full stop or comma is a piece of its own, whatever the Unicode version.
+_LETTERS = frozenset(c for c in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250)]) if c not in "\u00d7\u00f7")
+
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -47,26 +50,24 @@ def chunk_lists(texts: list[str]) -> tuple[list[list[str]], set[str]]:
 
 
 class Memory:
-    """Values of recent chunks in two generations: a full new one becomes the
-    old one, and what is used again moves to the new one."""
+    """What is known of the chunks met lately. When it is full, what the present batch
+    does not use goes; chunks too long to be kept go with the next batch."""
 
     def __init__(self):
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def known(self, chunks: set[str]) -> dict:
-        new, old = self.new, self.old
-        found = {c: new[c] for c in chunks & new.keys()}
-        if len(found) < len(chunks):
-            again = {c: old[c] for c in chunks & old.keys()}
-            found |= again
-            self.add(again)
-        return found
-
-    def add(self, values: dict) -> None:
-        if len(self.new) + len(values) > CACHE_CHUNKS:
-            self.old, self.new = self.new, {}
-        self.new.update((c, v) for c, v in values.items() if len(c) <= CACHE_CHUNK_CHARS)
+        self.values: dict = {}
+        self.long: list[str] = []
+
+    def of(self, distinct: set[str], learn) -> dict:
+        """Values of (at least) all of ``distinct``; ``learn`` gives those of new ones."""
+        for c in self.long:
+            self.values.pop(c, None)
+        if len(self.values) > CACHE_CHUNKS:
+            self.values = {c: v for c, v in self.values.items() if c in distinct}
+        new = list(distinct - self.values.keys())
+        self.long = [c for c in new if len(c) > CACHE_CHUNK_CHARS]
+        if new:
+            self.values.update(learn(new))
+        return self.values
 
 
 class ChunkEncoder:
@@ -83,32 +84,40 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory = Memory()
+        self.marks = self._chunks([".", ","])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
+    def _chunks(self, chunks: list[str], prefix: str = "") -> dict[str, bytes]:
         """Ids of each chunk; the library tells to which chunk of a list an id belongs."""
         found = {}
         lists = [chunks[i:i + CHUNKS_A_CALL] for i in range(0, len(chunks), CHUNKS_A_CALL)]
-        encoded = self.tokenizer.encode_batch(lists, is_pretokenized=True, add_special_tokens=False)
+        texts = [[prefix + c for c in part] for part in lists] if prefix else lists
+        encoded = self.tokenizer.encode_batch(texts, is_pretokenized=True, add_special_tokens=False)
         for part, e in zip(lists, encoded):
             ids = np.array(e.ids, dtype="<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))).tolist()
             found.update((c, ids[a:b]) for c, a, b in zip(part, [0, *ends], ends))
         return found
 
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that stand after a space. One that ends in a letter and a full
+        stop or comma is encoded as the word and the mark, since words repeat more often."""
+        known = self.memory.values
+        marked = [c for c in chunks if c[-2:-1] in _LETTERS and c[-1] in self.marks]
+        need = {c[:-1] for c in marked} - known.keys()
+        need.update(set(chunks).difference(marked))
+        ids = self._chunks(list(need), " ")
+        for c in marked:
+            ids[c] = (ids.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]]
+        return ids
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
         parts, distinct = chunk_lists([(t if i not in whole else "") or "" for i, t in enumerate(texts)])
-        found = self.memory.known(distinct)
-        if new := [c for c in distinct if c not in found]:
-            got = self._chunks([" " + c for c in new])
-            got = {c: got[" " + c] for c in new}
-            self.memory.add(got)
-            found |= got
+        get = self.memory.of(distinct, self._learn).__getitem__
         first = self._chunks(list({p[0] for p in parts if p[0]})) | {"": b""}
-        get = found.__getitem__
         return [
             whole[i] if i in whole else first[p[0]] + b"".join(map(get, islice(p, 1, None)))
             for i, p in enumerate(parts)

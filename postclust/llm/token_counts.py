@@ -138,13 +138,8 @@ class RankMerger:
             elif text:
                 spans.append((i, text))
         parts, distinct = chunk_lists([s for _, s in spans])
-        found = self.memory.known(distinct)
-        if new := [c for c in distinct if c not in found]:
-            got = dict(zip(new, self._learn([" " + c for c in new]).values()))
-            self.memory.add(got)
-            found |= got
+        get = self.memory.of(distinct, lambda new: dict(zip(new, self._learn([" " + c for c in new]).values()))).__getitem__
         heads = self._learn(list({p[0] for p in parts if p[0]})) | {"": 0}
-        get = found.__getitem__
         for (i, _), p in zip(spans, parts):
             counts[i] += heads[p[0]] + sum(map(get, islice(p, 1, None)))
         return counts
