@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from postclust.plans.catalog import QUERIES
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -15,9 +15,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cross_join(spark, sf_small, name):
-    plan = _plan(queries()[name](spark, sf_small))
+    plan = _plan(QUERIES[name](spark, sf_small))
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
 
@@ -33,22 +33,22 @@ def _read_schema(plan: str, table: str) -> set[str]:
 
 
 def test_scans_are_pruned(spark, sf_small):
-    plan = _plan(queries()["q_scored_questions"](spark, sf_small))
-    assert _read_schema(plan, "lineitem") == {"l_orderkey", "l_extendedprice"}
+    plan = _plan(QUERIES["q_scored_questions"](spark, sf_small))
+    assert _read_schema(plan, "lineitem") == {"l_orderkey", "l_linenumber", "l_extendedprice"}
     assert _read_schema(plan, "orders") == {"o_orderkey", "o_orderpriority"}
-    plan = _plan(queries()["q_grouped_counts"](spark, sf_small))
-    assert _read_schema(plan, "lineitem") == {"l_orderkey"}
+    plan = _plan(QUERIES["q_grouped_counts"](spark, sf_small))
+    assert _read_schema(plan, "lineitem") == {"l_orderkey", "l_linenumber"}
 
 
 def test_partial_aggregates_before_shuffle(spark, sf_small):
-    plan = _plan(queries()["q_scored_questions"](spark, sf_small))
+    plan = _plan(QUERIES["q_scored_questions"](spark, sf_small))
     assert "partial_max" in plan and "partial_min" in plan
-    plan = _plan(queries()["q_weighted_points"](spark, sf_small))
+    plan = _plan(QUERIES["q_weighted_points"](spark, sf_small))
     assert "partial_count" in plan
 
 
 def test_seed_sample_limits_groups_before_shuffle(spark, sf_small):
-    plan = _plan(queries()["q_sample_per_language"](spark, sf_small))
+    plan = _plan(QUERIES["q_sample_per_language"](spark, sf_small))
     assert "WindowGroupLimit" in plan and "Partial" in plan
-    plan = _plan(queries()["q_sample_global"](spark, sf_small))
+    plan = _plan(QUERIES["q_sample_global"](spark, sf_small))
     assert "TakeOrderedAndProject" in plan

@@ -6,7 +6,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql as all_sql, queries as all_queries
+from postclust.plans.catalog import QUERIES
+from postclust.plans.oracle import oracle_sql
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -28,26 +30,26 @@ def duck(sf_small):
     return con
 
 
-NO_ORACLE = {"q_sample_bernoulli"}
 SQL_TYPES = {"integer": "INTEGER", "long": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) - NO_ORACLE == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(all_queries()) and set(oracle_sql()) <= set(all_sql()) <= set(all_queries())
 
 
 def test_bernoulli_sample_query(spark, sf_small):
     from postclust.plans.catalog import WIDE, _vectors
 
-    df = queries()["q_sample_bernoulli"](spark, sf_small)
+    df = QUERIES["q_sample_bernoulli"](spark, sf_small)
     n = _vectors(spark, sf_small, WIDE).count()
     assert df.columns == ["question_id", "x", "y"]
     assert 0 < df.count() < 0.3 * n
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - NO_ORACLE))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, sf_small, name):
-    df = queries()[name](spark, sf_small)
+    df = QUERIES[name](spark, sf_small)
     res = duck.execute(oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
