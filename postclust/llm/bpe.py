@@ -8,20 +8,22 @@ one and the ids put together; words repeat, so most chunks are known already.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
-#: Chunks a worker process remembers (some 100 MB).
-CACHE_CHUNKS = 600_000
+#: Chunks a worker process remembers (some 50 MB).
+CACHE_CHUNKS = 250_000
 #: Longer chunks are not remembered.
 CACHE_CHUNK_CHARS = 64
 #: Characters of text encoded together.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 3_000_000
 #: Chunks that one call of the library encodes as a list.
 CHUNKS_A_CALL = 500
 
@@ -49,6 +51,19 @@ def chunk_lists(texts: list[str]) -> tuple[list[list[str]], set[str]]:
     return parts, distinct
 
 
+@contextmanager
+def no_collection():
+    """Python's cycle collector off: a batch makes millions of strings and no cycles,
+    and the collector would walk through them again and again."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 class Memory:
     """What is known of the chunks met lately. When it is full, what the present batch
     does not use goes; chunks too long to be kept go with the next batch."""
@@ -113,6 +128,7 @@ class ChunkEncoder:
             ids[c] = (ids.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]]
         return ids
 
+    @no_collection()
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
         parts, distinct = chunk_lists([(t if i not in whole else "") or "" for i, t in enumerate(texts)])
