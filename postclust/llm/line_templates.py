@@ -14,7 +14,8 @@ A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay
 the first of those documents (the least ``doc_id``) and are dropped elsewhere.
 
 Edge cases: a null text stays null, an empty one stays empty (no lines dropped); lines of
-fewer than ``MIN_WORDS`` words are never templates; rows alike in ``doc_id`` and text are
+fewer than ``MIN_WORDS`` words are never templates, unless they have as many letters of a
+script written without spaces (a whole sentence is one word there); rows alike in ``doc_id`` and text are
 one document and fare alike; documents without ``doc_id`` come after all others;
 a document may lose all its lines, its row stays; other columns are kept, whatever their names.
 
@@ -35,6 +36,9 @@ AGREEMENT = 0.7
 
 FIELD = "<*>"
 
+#: Letters of scripts that are written without spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
 DOC = ["_id", "_text_hash"]
 
 
@@ -53,7 +57,9 @@ def lines_of(rows: DataFrame) -> DataFrame:
     opened = F.when(F.rlike("line", F.lit("[0-9]")),
                     F.regexp_replace("line", r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD)).otherwise(F.col("line"))
     words = F.split(F.trim(F.regexp_replace(opened, r"\s+", " ")), " ")
-    return line.select(*DOC, "line_no", words.alias("words")).where(F.size("words") >= MIN_WORDS)
+    line = line.select(*DOC, "line_no", "line", words.alias("words"))
+    enough = (F.size("words") >= MIN_WORDS) | (F.regexp_count("line", F.lit(UNSPACED)) >= MIN_WORDS)
+    return line.where(enough).select(*DOC, "line_no", "words")
 
 
 def parsed(rows: DataFrame) -> DataFrame:

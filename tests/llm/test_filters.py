@@ -172,6 +172,19 @@ def test_line_templates(spark):
     assert got == want
 
 
+def dropped_lines(spark, texts):
+    """The lines that each document (numbered from 0) loses."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r.text for r in drop_recurring_lines(frame).collect()}
+    return [list((Counter(t.split("\n")) - Counter(out[i].split("\n"))).elements()) for i, t in enumerate(texts)]
+
+
+def test_lines_without_spaces(spark):
+    said = ["\u7248\u6743\u6240\u6709\u4fb5\u6743\u5fc5\u7a76", "\u3059\u3079\u3066\u306e\u6a29\u5229 \u7559\u4fdd", "\u0e2a\u0e07\u0e27\u0e19\u0e25\u0e34\u0e02\u0e2a\u0e34\u0e17\u0e18\u0e34\u0e4c"]
+    texts = ["\n".join([*said, "\u4e00\u4e8c", "A b.", f"the own line of {w}"]) for w in ("ann", "bea", "cyd")]
+    assert dropped_lines(spark, texts) == [[], said, said]
+
+
 def test_line_templates_edges(edge_docs, no_docs):
     out = drop_recurring_lines(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_lines", "n_dropped"]
