@@ -1,14 +1,16 @@
 """Operator 10, line dedup by a log-template tree.
 
 A line goes down a tree of fixed depth: by its number of words, then by its first
-``LEADING`` words. Words with a digit are variable fields from the start. The
-lines of a leaf form templates of two kinds:
+``LEADING`` words. Words with a digit are variable fields from the start; in a line
+of fields only they are taken as they stand, so it is only ever like its own copies.
+The lines of a leaf form templates of two kinds:
 
 * the line itself with its fields left open;
 * the leaf's common form: a place is constant if one word holds it in at least
   ``AGREEMENT`` of the leaf's different lines, else it is a field. It is a template
   if at least ``AGREEMENT`` of the places after the leading words, and one at
-  least, are constant; lines that have all its constants match it.
+  least, are constant, and some constant is a word; lines that have all its
+  constants match it.
 
 A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay in
 the first of those documents (the least ``doc_id``) and are dropped elsewhere.
@@ -52,20 +54,26 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
-    """Each line with its words (fields open) and its place in the tree."""
+    """Each line with its words (fields open, unless no word were left) and its leaf in the tree."""
     line = rows.select(*DOC, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     opened = F.when(F.rlike("line", F.lit("[0-9]")),
                     F.regexp_replace("line", r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD)).otherwise(F.col("line"))
-    words = F.split(F.trim(F.regexp_replace(opened, r"\s+", " ")), " ")
-    line = line.select(*DOC, "line_no", "line", words.alias("words"))
+    line = line.select(*DOC, "line_no", "line", words_of(opened).alias("words"))
     enough = (F.size("words") >= MIN_WORDS) | (F.regexp_count("line", F.lit(UNSPACED)) >= MIN_WORDS)
-    return line.where(enough).select(*DOC, "line_no", "words")
+    line = line.where(enough).withColumn("bare", F.expr(f"words[0] = '{FIELD}' and forall(words, w -> w = '{FIELD}')"))
+    line = line.withColumn("words", F.when(F.col("bare"), words_of(F.col("line"))).otherwise(F.col("words")))
+    # a line without constants has a leaf of its own, so no other form can take it in
+    branch = F.when(F.col("bare"), F.col("words")).otherwise(F.slice("words", 1, LEADING))
+    return line.select(*DOC, "line_no", F.xxhash64(F.size("words"), branch).alias("leaf"), "words")
+
+
+def words_of(line: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
 
 
 def parsed(rows: DataFrame) -> DataFrame:
     """``(document, line_no, leaf, form)``: hashes of a line's leaf and of its words."""
-    leaf = F.xxhash64(F.size("words"), F.slice("words", 1, LEADING))
-    return lines_of(rows).select(*DOC, "line_no", leaf.alias("leaf"), F.xxhash64("words").alias("form"), F.size("words").alias("n"))
+    return lines_of(rows).select(*DOC, "line_no", "leaf", F.xxhash64("words").alias("form"), F.size("words").alias("n"))
 
 
 def doc_key() -> Column:
@@ -83,8 +91,7 @@ def common_forms(rows: DataFrame, lines: DataFrame, seen: DataFrame) -> DataFram
     per_leaf = seen.groupBy("leaf", *DOC).agg(F.min("form").alias("a"), F.max("form").alias("b"))
     leaves = per_leaf.groupBy("leaf").agg(F.count("*").alias("docs"), F.min("a").alias("a"), F.max("b").alias("b"))
     mixed = materialize(leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("a") != F.col("b"))).select("leaf"), "leaves")
-    words = lines_of(rows).withColumn("leaf", F.xxhash64(F.size("words"), F.slice("words", 1, LEADING)))
-    different = keep_listed(words, mixed, ["leaf"]).select("leaf", "words").distinct()
+    different = keep_listed(lines_of(rows), mixed, ["leaf"]).select("leaf", "words").distinct()
     different = materialize(different, "different")
     size = different.groupBy("leaf").agg(F.count("*").alias("lines"))
     said = different.select("leaf", F.posexplode("words").alias("at", "word")).groupBy("leaf", "at", "word").count()
@@ -94,7 +101,8 @@ def common_forms(rows: DataFrame, lines: DataFrame, seen: DataFrame) -> DataFram
     constants = F.transform("places", lambda p: p["word"])
     after = F.expr(f"filter(slice(constants, {LEADING + 1}, greatest(size(constants) - {LEADING}, 0)), w -> w is not null)")
     enough = (F.size(after) >= 1) & (F.size(after) >= AGREEMENT * (F.size("constants") - LEADING))
-    forms = materialize(forms.select("leaf", constants.alias("constants")).where(enough), "forms")
+    worded = F.expr(f"exists(constants, w -> w is not null and w <> '{FIELD}')")
+    forms = materialize(forms.select("leaf", constants.alias("constants")).where(enough & worded), "forms")
     # which of the leaf's different lines have all the constants
     matches = F.expr("forall(arrays_zip(words, constants), p -> p.constants is null or p.constants = p.words)")
     matched = salted_lookup(different.withColumn("form", F.xxhash64("words")), "leaf", forms, ["form"], how="inner")

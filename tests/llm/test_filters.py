@@ -185,6 +185,11 @@ def test_lines_without_spaces(spark):
     assert dropped_lines(spark, texts) == [[], said, said]
 
 
+def test_lines_without_constants(spark):
+    texts = [f"{2000 + i} {7 * i} 3.{i}\n0 0 0 0 {i} 0 0 0\n1 {i} 2 3 4 5 6 {w}\n1 2 3\n9 8  7 6 5\n{i} of {i} rows" for i, w in enumerate(("ann", "bea", "cyd", "dot"))]
+    assert dropped_lines(spark, texts) == [[]] + [["1 2 3", "9 8  7 6 5", f"{i} of {i} rows"] for i in (1, 2, 3)]
+
+
 def test_line_templates_edges(edge_docs, no_docs):
     out = drop_recurring_lines(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_lines", "n_dropped"]
