@@ -3,16 +3,19 @@
 A line goes down a tree of fixed depth: by its number of words, then by its first
 ``LEADING`` words. Words with a digit are variable fields from the start; in a line
 of fields only they are taken as they stand, so it is only ever like its own copies.
-The lines of a leaf form templates of two kinds:
+The lines of a leaf form templates of three kinds:
 
 * the line itself with its fields left open;
 * the leaf's common form: a place is constant if one word holds it in at least
   ``AGREEMENT`` of the leaf's different lines, else it is a field. It is a template
   if at least ``AGREEMENT`` of the places after the leading words, and one at
   least, are constant, and some constant is a word; lines that have all its
-  constants match it.
+  constants match it;
+* a line with one run of places after the leading words open, as long as leaves
+  ``AGREEMENT`` of these places, and a word constant. A leaf can have any number of these.
 
-A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay in
+A line goes by the common form if it matches one that recurs, else by its forms with a
+run open (it stays where it is the first of any), else by itself. A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay in
 the first of those documents (the least ``doc_id``) and are dropped elsewhere.
 
 Edge cases: a null text stays null, an empty one stays empty (no lines dropped); lines of
@@ -86,13 +89,17 @@ def recurring(seen: DataFrame, keys: list[str]) -> DataFrame:
     return seen.groupBy(*keys).agg(F.count("*").alias("docs"), F.min(doc_key()).alias("first")).where(F.col("docs") >= MIN_DOCS)
 
 
-def common_forms(rows: DataFrame, lines: DataFrame, seen: DataFrame) -> DataFrame:
-    """``(leaf, constants)``: the leaves' common forms, null at the fields."""
+def different_lines(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """``(leaf, form, words)``: the different lines of the leaves that have several."""
     per_leaf = seen.groupBy("leaf", *DOC).agg(F.min("form").alias("a"), F.max("form").alias("b"))
     leaves = per_leaf.groupBy("leaf").agg(F.count("*").alias("docs"), F.min("a").alias("a"), F.max("b").alias("b"))
     mixed = materialize(leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("a") != F.col("b"))).select("leaf"), "leaves")
     different = keep_listed(lines_of(rows), mixed, ["leaf"]).select("leaf", "words").distinct()
-    different = materialize(different, "different")
+    return materialize(different.select("leaf", F.xxhash64("words").alias("form"), "words"), "different")
+
+
+def common_forms(different: DataFrame) -> DataFrame:
+    """``(leaf, form)``: the lines that have all constants of their leaf's common form."""
     size = different.groupBy("leaf").agg(F.count("*").alias("lines"))
     said = different.select("leaf", F.posexplode("words").alias("at", "word")).groupBy("leaf", "at", "word").count()
     most = said.groupBy("leaf", "at").agg(F.max(F.struct("count", "word")).alias("most"))
@@ -105,10 +112,36 @@ def common_forms(rows: DataFrame, lines: DataFrame, seen: DataFrame) -> DataFram
     forms = materialize(forms.select("leaf", constants.alias("constants")).where(enough & worded), "forms")
     # which of the leaf's different lines have all the constants
     matches = F.expr("forall(arrays_zip(words, constants), p -> p.constants is null or p.constants = p.words)")
-    matched = salted_lookup(different.withColumn("form", F.xxhash64("words")), "leaf", forms, ["form"], how="inner")
+    matched = salted_lookup(different, "leaf", forms, ["form"], how="inner")
     return matched.where(matches).select("leaf", "form")
 
 
+def run_forms(different: DataFrame, seen: DataFrame) -> DataFrame:
+    """``(leaf, form, run_firsts)``: the lines that recur as forms with a run of places open,
+    with the first document of each such form."""
+    after = F.size("words") - LEADING
+    lines = different.withColumn("run", (after - F.ceil(AGREEMENT * after)).cast("int")).where("run >= 1")
+    # a run leaves the first or the last third of the places whole: only lines that share one are opened
+    third = F.floor(after / 3).cast("int")
+    thirds = lines.select("leaf", "form", F.explode(F.array(
+        F.xxhash64("leaf", F.lit(0), F.slice("words", LEADING + 1, third)),
+        F.xxhash64("leaf", F.lit(1), F.slice("words", F.size("words") - third + 1, third)))).alias("third"))
+    met = materialize(thirds.groupBy("third").count().where("count > 1").select("third"), "thirds")
+    alike = materialize(keep_listed(thirds, met, ["third"]).select("leaf", "form").distinct(), "alike")
+    near = materialize(keep_listed(lines, alike, ["leaf", "form"]), "near")
+
+    start = F.explode(F.sequence(F.lit(LEADING + 1), F.size("words") - F.col("run") + 1)).alias("at")
+    outside = F.expr("concat(slice(words, 1, at - 1), slice(words, at + run, size(words)))").alias("outside")
+    opened = near.select("*", start).select("leaf", "form", "at", outside).where(F.expr(f"exists(outside, w -> w <> '{FIELD}')"))
+    opened = opened.select("leaf", "form", F.xxhash64("leaf", "at", "outside").alias("template"))
+    several = materialize(opened.groupBy("template").count().where("count > 1").select("template"), "several")
+    members = materialize(keep_listed(opened, several, ["template"]), "members")
+    held = keep_listed(seen, members, ["leaf", "form"], "inner").select("template", *DOC).distinct()
+    firsts = materialize(recurring(held, ["template"]).select("template", "first"), "firsts")
+    found = salted_lookup(members, "template", firsts, ["form"], how="inner")
+    return found.groupBy("leaf", "form").agg(F.collect_set("first").alias("run_firsts"))
+
+
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text`` but in their
     first document, and ``n_lines`` and ``n_dropped`` (of columns so named, these are the new ones)."""
@@ -117,16 +150,19 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     seen = materialize(lines.select("leaf", "form", *DOC).distinct(), "seen")
     own = recurring(seen, ["leaf", "form"]).select("leaf", "form", F.col("first").alias("own_first"))
 
-    common = materialize(common_forms(rows, lines, seen), "common")
+    different = different_lines(rows, seen)
+    common = materialize(common_forms(different), "common")
     in_common = seen.join(common, ["leaf", "form"], "left_semi")
     shared = recurring(in_common.select("leaf", *DOC).distinct(), ["leaf"])
     shared = common.join(shared, "leaf").select("leaf", "form", F.col("first").alias("common_first"))
 
-    template = materialize(own.join(shared, ["leaf", "form"], "full").select(
-        F.struct("leaf", "form").alias("template"), "own_first", "common_first"), "templates")
+    runs = materialize(run_forms(different, seen), "runs")
+    template = own.join(shared, ["leaf", "form"], "full").join(runs, ["leaf", "form"], "full")
+    template = materialize(template.select(
+        F.struct("leaf", "form").alias("template"), "own_first", "run_firsts", "common_first"), "templates")
     marked = salted_lookup(lines.withColumn("template", F.struct("leaf", "form")), "template", template,
                            ["_text_hash", "line_no"], how="inner")
-    later = F.coalesce(doc_key() != F.col("common_first"), doc_key() != F.col("own_first"))
+    later = F.coalesce(doc_key() != F.col("common_first"), ~F.array_contains("run_firsts", doc_key()), doc_key() != F.col("own_first"))
     dropped = marked.where(later).groupBy(*DOC).agg(F.collect_set("line_no").alias("_dropped"))
 
     # the row travels as one struct: no column of it can clash with the names used here

@@ -190,6 +190,19 @@ def test_lines_without_constants(spark):
     assert dropped_lines(spark, texts) == [[]] + [["1 2 3", "9 8  7 6 5", f"{i} of {i} rows"] for i in (1, 2, 3)]
 
 
+def test_several_templates_in_a_leaf(spark):
+    names = ["Ann", "Bea", "Cyd", "Dot"]
+    said = [f"Copyright held by {n} in this state of things" for n in names] + [f"Copyright held by {n} at all for any reason" for n in names]
+    said += [f"Copyright held by the firm of {n} {n}son since a very long time" for n in names]
+    said += [f"Copyright held by all who ever wrote on {n} and {n}son here" for n in names]
+    free = [f"Copyright held by {w}a {w}b {w}c {w}d {w}e {w}f" for w in "pqrstuv"]  # much else in the same leaf
+    free += [f"Copyright held by {w}a {w}b {w}c {w}d {w}e {w}f {w}g {w}h {w}i {w}j" for w in "pqrstuv"]
+    twice = [f"Copyright held by {n} until the end of it" for n in names[:2]]
+    got = dropped_lines(spark, said + free + twice)
+    assert got[:16] == [[] if i % 4 == 0 else [t] for i, t in enumerate(said)]
+    assert not any(got[16:])
+
+
 def test_line_templates_edges(edge_docs, no_docs):
     out = drop_recurring_lines(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_lines", "n_dropped"]
