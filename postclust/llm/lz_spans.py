@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postclust.llm.common import BROADCAST_ROWS, counted_join, materialize, salted_lookup
@@ -48,7 +48,7 @@ LAST_ID = (1 << 63) - 1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 OTHER_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
-BLOCK_SCHEMA = "id long, text_hash int, anchor long, content long, start int, windows int"
+BLOCK_SCHEMA = "id long, text_hash struct<high:long,low:long>, anchor long, content long, start int, windows int"
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -110,7 +110,13 @@ def split_words(text: str | None) -> list[bytes]:
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.hash("text").alias("text_hash"), "doc_id", "text")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), text_digest().alias("text_hash"), "doc_id", "text")
+
+
+def text_digest() -> Column:
+    """128 bits of the text: rows alike in ``id`` and in this are one document."""
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    return F.struct(*[F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(name) for at, name in ((1, "high"), (17, "low"))])
 
 
 def signed(values: np.ndarray) -> pa.Array:
@@ -120,14 +126,14 @@ def signed(values: np.ndarray) -> pa.Array:
 def reference_blocks(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes = batch.column("id").to_numpy(), batch.column("text_hash").to_numpy()
+            ids, hashes = batch.column("id").to_numpy(), batch.column("text_hash")
             found = [blocks_of(split_words(t), window, gram) for t in batch.column("text").to_pylist()]
             if not found:
                 continue
             sizes = [len(f[0]) for f in found]
             anchor, content, start, windows = (np.concatenate(c) for c in zip(*found))
             yield pa.RecordBatch.from_pydict({
-                "id": pa.array(np.repeat(ids, sizes)), "text_hash": pa.array(np.repeat(hashes, sizes)),
+                "id": pa.array(np.repeat(ids, sizes)), "text_hash": hashes.take(pa.array(np.repeat(np.arange(len(sizes)), sizes))),
                 "anchor": signed(anchor), "content": signed(content),
                 "start": pa.array(start.astype(np.int32)), "windows": pa.array(windows.astype(np.int32))})
 

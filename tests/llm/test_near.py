@@ -179,6 +179,16 @@ def test_substrings_with_shared_passages(spark):
     assert spans_rows(frame, window=12, gram=3) == kept_words(rows, 12)
 
 
+def test_substrings_of_texts_alike_in_32_bits(spark):
+    passage, other = prose(64, 77), prose(60, 78)
+    text = F.concat_ws(" ", F.col("id"), F.when(F.col("id") % 2 == 0, F.lit(passage)).otherwise(F.lit(other)))
+    alike = spark.range(400_000).select(F.hash(text).alias("h"), "id", text.alias("text")).groupBy("h").agg(
+        F.collect_list("text").alias("texts"), F.countDistinct(F.col("id") % 2).alias("kinds")).where("kinds = 2").first()
+    rows = [(1, passage), *[(None, t) for t in alike["texts"]], *[(5, t) for t in alike["texts"]]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert spans_rows(frame) == kept_words(rows, 50)
+
+
 def test_blocks_cover_every_window_once():
     words = (prose(200, 3) + " " + "same " * 120).encode().split()
     _, _, start, windows = blocks_of(words, 50, 8)
