@@ -58,10 +58,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def lines_of(rows: DataFrame) -> DataFrame:
     """Each line with its words (fields open, unless no word were left) and its leaf in the tree."""
-    line = rows.select(*DOC, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    opened = F.when(F.rlike("line", F.lit("[0-9]")),
-                    F.regexp_replace("line", r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD)).otherwise(F.col("line"))
-    line = line.select(*DOC, "line_no", "line", words_of(opened).alias("words"))
+    # words are made inside the generator, else each later use of them repeats the patterns
+    said = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("line"), words_of(opened(line)).alias("words")))
+    line = rows.select(*DOC, F.posexplode(said).alias("line_no", "said")).select(*DOC, "line_no", "said.*")
     enough = (F.size("words") >= MIN_WORDS) | (F.regexp_count("line", F.lit(UNSPACED)) >= MIN_WORDS)
     line = line.where(enough).withColumn("bare", F.expr(f"words[0] = '{FIELD}' and forall(words, w -> w = '{FIELD}')"))
     line = line.withColumn("words", F.when(F.col("bare"), words_of(F.col("line"))).otherwise(F.col("words")))
@@ -70,6 +69,10 @@ def lines_of(rows: DataFrame) -> DataFrame:
     return line.select(*DOC, "line_no", F.xxhash64(F.size("words"), branch).alias("leaf"), "words")
 
 
+def opened(line: Column) -> Column:
+    return F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", FIELD)).otherwise(line)
+
+
 def words_of(line: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
 
