@@ -1,4 +1,6 @@
-"""Operator 9, substring dedup by relative Lempel-Ziv factors.
+"""Operator 9, substring dedup by a join of content-defined blocks and windows.
+
+This stands in for relative Lempel-Ziv factors: there is no greedy parse.
 
 The reference is the corpus itself, cut into blocks that its own words decide. Of
 the ``GRAM``-word grams in a window of ``WINDOW`` words the one with the least hash
@@ -7,16 +9,15 @@ that share an anchor form one reference block: the words from the first to the
 last of them. Blocks are indexed by anchor and by content, each content with the
 least ``doc_id`` that has it.
 
-A document is factored from left to right into its own such blocks:
+A document is cut into its own such blocks:
 
 1. A block whose anchor no other document has is new text.
 2. A block that an earlier document has whole is copied whole.
-3. At the boundaries of such factors, where a block shares its anchor but not all of
-   its words with others, its windows are looked up one by one. Each different content
-   does so once, for all that repeat it.
+3. Where a block shares its anchor but not all of its words with others, its windows
+   are looked up one by one. Each different content does so once, for all that repeat it.
 
-Runs of copied windows are the factors of ``WINDOW`` words and more; the words that
-they cover are duplicate spans. Every window is in exactly one block, so none is missed.
+The words that copied windows cover are duplicate spans. Every window is in exactly one
+block, so none is missed.
 
 Grouping is by anchors and contents with counts first; keys that hold over a
 thousandth of the rows are broadcast (``counted_join``), the others shuffled.
@@ -25,7 +26,7 @@ Windows are compared by 128 bits of hash.
 Edge cases: a null or empty text has no words and keeps none; fewer words than a
 window have no duplicates; documents without ``doc_id`` come after all others and
 not before each other; rows that share a ``doc_id`` are never duplicates of each
-other; an empty table gives an empty result; other columns are ignored.
+other and are told apart by 128 bits of their text; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
