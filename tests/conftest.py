@@ -4,8 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(TESTS), TESTS]
 
+from fixture_values import FIXTURE_POSTINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,29 +26,6 @@ def spark():
     session.stop()
 
 
-# Postings fixture of the reference suite (16 rows): (type, id, accepted, parent, score, tag)
-FIXTURE_POSTINGS = [
-    (1, 6, None, None, 50, "CSS"),
-    (1, 7, None, None, 60, "Java"),
-    (1, 8, None, None, 10, "Python"),
-    (1, 9, 29, None, 80, "Scala"),
-    (1, 10, 20, None, 150, "Java"),
-    (1, 40, None, None, 150, "Java"),
-    (2, 16, None, None, 50, "CSS"),
-    (2, 17, None, 10, 60, "Java"),
-    (2, 18, None, None, 10, "Python"),
-    (2, 19, None, 9, 80, "Scala"),
-    (2, 20, None, 10, 90, "Java"),
-    (2, 26, None, 7, 50, "Java"),
-    (2, 27, None, None, 60, "Java"),
-    (2, 28, None, None, 10, "Python"),
-    (2, 29, None, 9, 70, "Scala"),
-    (2, 30, None, 9, 150, "Scala"),
-]
-
-FIVE_LANGS = ("Python", "Java", "Ruby", "CSS", "Scala")
-
-
 @pytest.fixture(scope="session")
 def fixture_postings(spark):
     from postclust.sources.memory import postings_from_rows

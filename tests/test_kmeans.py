@@ -7,7 +7,7 @@ from postclust.operators.summary import cluster_results, lang_stats_of_assigned,
 from postclust.operators.vectors import vectorize, weigh_points
 from postclust.params import Params
 
-from conftest import FIVE_LANGS
+from fixture_values import FIVE_LANGS
 
 PARAMS = Params(langs=FIVE_LANGS)
 MEANS = [(0, 0, 10), (1, 50000, 30), (2, 100000, 40), (3, 150000, 100), (4, 200000, 100)]

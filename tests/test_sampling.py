@@ -7,7 +7,7 @@ from postclust.operators.sampling import (
 from postclust.params import Params
 from postclust.plans.catalog import NARROW, WIDE, _vectors
 
-from conftest import FIVE_LANGS
+from fixture_values import FIVE_LANGS
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ from postclust.operators.scoring import score_questions
 from postclust.operators.vectors import vectorize, weigh_points, with_labels
 from postclust.params import Params
 
-from conftest import FIVE_LANGS
+from fixture_values import FIVE_LANGS
 
 
 def _by_id(df):
