@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import EDGE_ROWS, prose
+from edge_rows import EDGE_ROWS, prose
 
 import corpus_pipeline
 from postclust.llm import decontaminate, language_id, secrets

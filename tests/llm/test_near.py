@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from conftest import EDGE_ROWS, prose
+from edge_rows import EDGE_ROWS, prose
 
 from postclust.llm.components import connected_components
 from postclust.llm.ego_join import near_vectors

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import EDGE_ROWS
+from edge_rows import EDGE_ROWS
 
 from postclust.llm.best_fit import CAPACITY, cut, pack, plan_slots
 from postclust.llm.bpe import ChunkEncoder, default_tokenizer_path
