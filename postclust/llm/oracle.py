@@ -163,3 +163,12 @@ SELECT doc_id, n_lines::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_d
     CASE WHEN n_dropped IS NULL THEN n.text ELSE coalesce(kept.text, '') END AS text
 FROM n LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+COPIES = """
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS said FROM documents
+), g AS (
+    SELECT said, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY said
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(said) AS text_sha256 FROM d JOIN g USING (said)
+"""

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from postclust.llm.best_fit import pack
 from postclust.llm.common import read_table, ship_package
+from postclust.llm.cuckoo import mark_copies
 from postclust.llm.decontaminate import contaminated, contamination
 from postclust.llm.ego_join import near_vectors
 from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
-from postclust.llm.oracle import DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
+from postclust.llm.oracle import COPIES, DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
@@ -73,6 +74,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_copies(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def shipped(query):
     """The query, after a look whether the executors can import the operators."""
 
@@ -87,7 +93,7 @@ def shipped(query):
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
     op6_secret_scans, op7_language_id, op8_embedding_near_dedup,
-    op9_substring_dedup, op10_line_dedup,
+    op9_substring_dedup, op10_line_dedup, op11_exact_dedup,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
@@ -95,4 +101,5 @@ ORACLE = {
     "op8_embedding_near_dedup": EMBEDDINGS,
     "op9_substring_dedup": SUBSTRINGS,
     "op10_line_dedup": LINES,
+    "op11_exact_dedup": COPIES,
 }
