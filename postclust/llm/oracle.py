@@ -172,3 +172,46 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(said) AS text_sha256 FROM d JOIN g USING (said)
 """
+
+AUDIT = r"""
+WITH RECURSIVE said AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents
+), good AS (
+    SELECT DISTINCT doc_id FROM labels WHERE quality = 1
+), toxic AS (
+    SELECT DISTINCT doc_id FROM labels WHERE toxic = 1
+), doc AS (
+    SELECT part,
+        (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+            + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+            + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS fails,
+        coalesce(doc_id IN (SELECT doc_id FROM good), false) AS is_good, coalesce(doc_id IN (SELECT doc_id FROM toxic), false) AS is_toxic
+    FROM said
+), cell AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (is_good) AS good, count(*) FILTER (is_toxic) AS toxic FROM doc GROUP BY part, fails
+), filter_order(filter_order, before, step, name, bit) AS (
+    SELECT '', 0, 0, '', 0
+    UNION ALL
+    SELECT o.filter_order || f.name, o.before + o.bit, o.step + 1, f.name, f.bit
+    FROM filter_order o, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) f(name, bit) WHERE NOT contains(o.filter_order, f.name)
+), step AS (
+    SELECT w.filter_order, s.step, s.name, s.bit, s.before
+    FROM filter_order w JOIN filter_order s ON starts_with(w.filter_order, s.filter_order) WHERE w.step = 5 AND s.step > 0
+), told AS (
+    SELECT part, filter_order, step, name,
+        sum(n) FILTER (fails & (before | bit) = 0) AS kept,
+        sum(n) FILTER (fails & before = 0 AND fails & bit > 0) AS removed,
+        sum(n) FILTER (fails & before > 0 AND fails & bit > 0) AS redundant,
+        sum(n) FILTER (fails = bit) AS unique_fails,
+        sum(good) FILTER (fails & before = 0 AND fails & bit > 0) AS good_lost,
+        sum(toxic) FILTER (fails & before = 0 AND fails & bit > 0) AS toxic_lost
+    FROM cell, step GROUP BY part, filter_order, step, name
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+    coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+    coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    (sum(coalesce(removed, 0)) OVER (PARTITION BY part, name))::BIGINT AS shapley
+FROM told
+"""

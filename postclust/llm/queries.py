@@ -12,10 +12,11 @@ from postclust.llm.common import read_table, ship_package
 from postclust.llm.cuckoo import mark_copies
 from postclust.llm.decontaminate import contaminated, contamination
 from postclust.llm.ego_join import near_vectors
+from postclust.llm.filter_audit import audit
 from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
-from postclust.llm.oracle import COPIES, DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
+from postclust.llm.oracle import AUDIT, COPIES, DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
@@ -79,6 +80,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def shipped(query):
     """The query, after a look whether the executors can import the operators."""
 
@@ -93,7 +98,7 @@ def shipped(query):
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
     op6_secret_scans, op7_language_id, op8_embedding_near_dedup,
-    op9_substring_dedup, op10_line_dedup, op11_exact_dedup,
+    op9_substring_dedup, op10_line_dedup, op11_exact_dedup, op13_filter_interaction_audit,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
@@ -102,4 +107,5 @@ ORACLE = {
     "op9_substring_dedup": SUBSTRINGS,
     "op10_line_dedup": LINES,
     "op11_exact_dedup": COPIES,
+    "op13_filter_interaction_audit": AUDIT,
 }
