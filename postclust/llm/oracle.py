@@ -215,3 +215,49 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
     (sum(coalesce(removed, 0)) OVER (PARTITION BY part, name))::BIGINT AS shapley
 FROM told
 """
+
+VARIANTS = r"""
+WITH RECURSIVE step(i, c, k) AS (
+    SELECT i, i, 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8
+), run AS (
+    SELECT doc_id, w, count(*) AS n FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+    WHERE length(w) >= 5 GROUP BY doc_id, w
+), hashed AS (
+    SELECT w, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+            lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+    FROM run, crc_table
+), word AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+    SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS p FROM word)
+), link AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT w.word, w.n, c.word, c.n FROM word w JOIN cut c ON w.word = c.rest
+    UNION
+    SELECT c.word, c.n, w.word, w.n FROM word w JOIN cut c ON w.word = c.rest
+), near AS (
+    SELECT word, any_value(n) AS n, count(*) AS n_near, max(other_n) AS most, min(other) FILTER (other_n = m) AS best
+    FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS m FROM link) GROUP BY word
+), formed AS (
+    SELECT word, word.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * word.n THEN best END AS form,
+        CASE WHEN most >= 2 * word.n THEN most END AS form_n
+    FROM word LEFT JOIN near USING (word)
+), chain(word, root, k) AS (
+    SELECT word, word, 0 FROM formed
+    UNION ALL
+    SELECT chain.word, form, k + 1 FROM chain JOIN formed ON chain.root = formed.word WHERE form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near::BIGINT AS n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word) c USING (word)
+"""

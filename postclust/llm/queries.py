@@ -16,10 +16,11 @@ from postclust.llm.filter_audit import audit
 from postclust.llm.language_id import identify
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.lz_spans import dedup_spans
-from postclust.llm.oracle import AUDIT, COPIES, DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS
+from postclust.llm.oracle import AUDIT, COPIES, DECONTAMINATE, EMBEDDINGS, LINES, SECRETS, SUBSTRINGS, VARIANTS
 from postclust.llm.secrets import count_of, scan, spans_text
 from postclust.llm.simhash import near_groups
 from postclust.llm.token_counts import token_counts
+from postclust.llm.variants import spelling_variants
 from postclust.llm.wavelet import round_trip
 
 
@@ -80,6 +81,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -98,7 +103,8 @@ def shipped(query):
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_token_counts, op2_best_fit_packing, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_token_id_output,
     op6_secret_scans, op7_language_id, op8_embedding_near_dedup,
-    op9_substring_dedup, op10_line_dedup, op11_exact_dedup, op13_filter_interaction_audit,
+    op9_substring_dedup, op10_line_dedup, op11_exact_dedup, op12_spelling_variants,
+    op13_filter_interaction_audit,
 )}
 ORACLE = {
     "op3_benchmark_decontamination": DECONTAMINATE,
@@ -107,5 +113,6 @@ ORACLE = {
     "op9_substring_dedup": SUBSTRINGS,
     "op10_line_dedup": LINES,
     "op11_exact_dedup": COPIES,
+    "op12_spelling_variants": VARIANTS,
     "op13_filter_interaction_audit": AUDIT,
 }
