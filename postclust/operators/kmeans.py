@@ -1,9 +1,10 @@
 """Exact integer k-means.
 
 The centers are the only driver state: at most ``kernels`` integer pairs. One
-iteration is one Spark job over the weighted points (``kmeans_step``):
+step is one Spark job over the weighted points (``kmeans_step``):
 
-    assign every point to its nearest center (a per-row expression)
+    every point finds its nearest center by binary search among the break points
+    of its x (at most k, made on the driver from the centers)
     -> per-center weighted sums (partial aggregate per task, <= k rows each)
     -> integer centroid ``sum(x * n) div sum(n)`` (truncation toward zero)
 
@@ -21,8 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postclust.functions.arith import int_div
-from postclust.functions.geometry import nearest_center, nearest_position_sql, point_shift, total_shift
+from postclust.functions.geometry import point_shift, total_shift, with_nearest
 from postclust.params import Params
 
 Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
@@ -32,49 +32,37 @@ Centers = list[tuple[int, int, int]]  # (cid, x, y), cid = position
 SUM_TYPE = "DECIMAL(38,0)"
 
 
-def assign(points: DataFrame, centers: Centers) -> DataFrame:
-    """Add ``cid``, the nearest center of every row's (x, y)."""
-    return points.withColumn("cid", nearest_center("x", "y", centers).cast("int"))
+def different_xs(points: DataFrame) -> list[int]:
+    """The x values of the points, at most one more than there are languages."""
+    return sorted(r["x"] for r in points.select("x").distinct().collect())
 
 
-def weight_column(points: DataFrame) -> F.Column:
-    return F.col("n") if "n" in points.columns else F.lit(1).cast("bigint")
+def assign(points: DataFrame, centers: Centers, xs: list[int] | None = None) -> DataFrame:
+    """Add ``cid``, the nearest center of every row's (x, y); equal distances go to the
+    center listed first. ``xs``: the different x, looked up if not given."""
+    if not centers:
+        raise ValueError("at least one center is needed")
+    found = with_nearest(points, [(x, y) for _, x, y in centers], different_xs(points) if xs is None else xs, "_pos")
+    return found.select(*points.columns, F.expr(f"array({', '.join(str(int(c)) for c, _, _ in centers)})[_pos]").alias("cid"))
 
 
-def assign_by_position(points: DataFrame, centers: Centers) -> DataFrame:
-    """``(x, y, n, pos)``: the position of every point's nearest center.
-
-    The centers come from a one-row subquery, as one array. The expression over
-    it is the same in every step, so a fit compiles its code once.
-    """
-    flat = [float(c) for _, mx, my in centers for c in (mx, my)]
-    row = points.sparkSession.createDataFrame([(flat,)], "centers ARRAY<DOUBLE>")
-    terms = [(f"centers[{2 * i}]", f"centers[{2 * i + 1}]") for i in range(len(centers))]
-    weighted = points.select("x", "y", weight_column(points).alias("n"), row.scalar().alias("centers"))
-    return weighted.select("x", "y", "n", F.expr(nearest_position_sql("x", "y", terms)).alias("pos"))
+def weight_column(points: DataFrame) -> F.Column:
+    return F.col("n") if "n" in points.columns else F.lit(1).cast("bigint")
 
 
-def cluster_means(points: DataFrame, centers: Centers) -> DataFrame:
+def cluster_means(points: DataFrame, centers: Centers, xs: list[int] | None = None) -> DataFrame:
     """A4 + A5: ``(pos, mx, my, size)`` of every non-empty cluster, by the position
     of its center. A points table of one partition needs no exchange; a larger one
     sends at most k partial rows per task."""
-    n = F.col("n")
-    sums = assign_by_position(points, centers).groupBy("pos").agg(
-        F.sum(F.col("x").cast(SUM_TYPE) * n).alias("sx"),
-        F.sum(F.col("y").cast(SUM_TYPE) * n).alias("sy"),
-        F.sum(n).alias("size"),
-    )
-    return sums.select(
-        "pos",
-        int_div(F.col("sx"), F.col("size")).cast("int").alias("mx"),
-        int_div(F.col("sy"), F.col("size")).cast("int").alias("my"),
-        "size",
-    )
-
-
-def kmeans_step(points: DataFrame, centers: Centers) -> Centers:
+    weighted = points if "n" in points.columns else points.select("x", "y", weight_column(points).alias("n"))
+    placed = with_nearest(weighted, [(x, y) for _, x, y in centers], different_xs(points) if xs is None else xs)
+    mean = lambda c: F.expr(f"CAST(sum(CAST({c} AS {SUM_TYPE}) * n) div sum(n) AS INT) AS m{c}")
+    return placed.groupBy("pos").agg(mean("x"), mean("y"), F.expr("sum(n) AS size"))
+
+
+def kmeans_step(points: DataFrame, centers: Centers, xs: list[int] | None = None) -> Centers:
     """K1: one update; empty clusters keep their previous center."""
-    moved = {r["pos"]: (r["mx"], r["my"]) for r in cluster_means(points, centers).collect()}
+    moved = {r["pos"]: (r["mx"], r["my"]) for r in cluster_means(points, centers, xs).collect()}
     return [(cid, *moved.get(i, (x, y))) for i, (cid, x, y) in enumerate(centers)]
 
 
@@ -112,11 +100,12 @@ def fit(points: DataFrame, init: Centers, params: Params) -> FitResult:
     if not init:
         raise ValueError("at least one initial center is needed")
     centers = [(int(c), int(x), int(y)) for c, x, y in init]
+    xs = different_xs(points)
     trace: list[tuple] = []
     it = 0
     while True:
         it += 1
-        new = kmeans_step(points, centers)
+        new = kmeans_step(points, centers, xs)
         shift = total_shift([(x, y) for _, x, y in centers], [(x, y) for _, x, y in new])
         done = converged(shift, params)
         for (cid, ox, oy), (_, nx, ny) in zip(centers, new):
