@@ -5,9 +5,9 @@ Samples are deterministic: every vector gets the key
 uniform draw without replacement that does not depend on partitioning or task
 order, and both forms are bounded top-k plans:
 
-* W1 (per language) is ``row_number() <= per_lang`` over ``PARTITION BY x``;
-  Spark plans a partial ``WindowGroupLimit`` before the shuffle, so each task
-  sends at most ``per_lang`` rows per language, however large a language is.
+* W1 (per language) is ``row_number() <= per_lang`` over ``PARTITION BY x, salt``, then
+  over ``PARTITION BY x``; Spark plans a partial ``WindowGroupLimit`` before each shuffle,
+  so each task sends at most ``per_lang`` rows per language and salt.
 * W2 (language-blind) is ``ORDER BY key LIMIT k``, a ``TakeOrderedAndProject``
   that keeps k rows per task.
 """
@@ -30,13 +30,26 @@ def sample_key(question_id, seed: int):
     return F.md5(F.concat(F.lit(f"{seed}:"), question_id.cast("string")))
 
 
+# Tasks over which the candidates of one language are spread before they meet.
+SALTS = 32
+
+
 def sample_per_language(vectors: DataFrame, params: Params) -> DataFrame:
-    """``per_lang`` vectors of every x value, with their rank ``rn`` (1-based)."""
+    """``per_lang`` vectors of every x value, with their rank ``rn`` (1-based).
+
+    Two limits: the smallest keys of each (x, salt), then of these those of each x. So one
+    task meets at most ``SALTS * per_lang`` rows of a language, however many tasks
+    scan it.
+    """
     per_lang = params.per_lang
     keyed = vectors.select("question_id", "x", "y", sample_key(F.col("question_id"), params.seed).alias("h"))
-    w = Window.partitionBy("x").orderBy("h", "question_id")
+    keyed = keyed.withColumn("salt", F.pmod(F.hash("question_id"), F.lit(SALTS)))
+    first = Window.partitionBy("x", "salt").orderBy("h", "question_id")
+    last = Window.partitionBy("x").orderBy("h", "question_id")
     return (
-        keyed.withColumn("rn", F.row_number().over(w))
+        keyed.withColumn("rn", F.row_number().over(first))
+        .filter(F.col("rn") <= per_lang)
+        .withColumn("rn", F.row_number().over(last))
         .filter(F.col("rn") <= per_lang)
         .select("question_id", "x", "y", "rn")
     )

@@ -4,10 +4,12 @@ Jobs, in order:
 
 1. vectors (one scan, one keyed partial aggregate), persisted because two
    consumers read them;
-2. seed sample (bounded top-k, <= kernels rows reach the driver);
-3. weighted points ``(x, y, n)`` (partial count), sized into few partitions and
+2. weighted points ``(x, y, n)`` (partial count), sized into few partitions and
    cut from their lineage (reliable checkpoint in the session's shared
-   checkpoint folder when there is one), after which the vectors are released;
+   checkpoint folder when there is one); the job that counts them also checks the
+   number of vectors (C6);
+3. seed sample (bounded top-k, <= kernels rows reach the driver and are checked
+   there, C3 and C4), after which the vectors are released;
 4. one job per fit iteration over the weighted points (<= kernels rows back);
 5. the summary over the weighted points (<= kernels rows).
 
@@ -22,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from postclust.operators.kmeans import Centers, FitResult, fit
 from postclust.operators.sampling import initial_centers
@@ -39,16 +42,20 @@ class RowCountError(AssertionError):
     """The number of vectors differs from the expected count."""
 
 
-def prepare_points(vectors: DataFrame) -> DataFrame:
+def prepare_points(vectors: DataFrame, expect_rows: int | None = None) -> DataFrame:
     """Weighted points, materialized once for the fit loop and the summary.
 
     The rows are counted to size the table at ``ceil(rows / POINTS_PER_PARTITION)``
     partitions, written to the shared checkpoint folder when there is one, and
     cached with that partition count, so that a one-partition table is known as
-    such to the planner and a fit step runs without an exchange.
+    such to the planner and a fit step runs without an exchange. The same job sums
+    the weights, which is the number of vectors (C6).
     """
     weighted = weigh_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = weighted.count()
+    rows, total = weighted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if expect_rows is not None and total != expect_rows:
+        weighted.unpersist()
+        raise RowCountError(f"{total} vectors, {expect_rows} expected")
     parts = max(1, math.ceil(rows / POINTS_PER_PARTITION))
     sized = weighted.coalesce(parts)  # coalesce never raises the partition count
     if ensure_checkpoint_dir(sized.sparkSession):
@@ -75,12 +82,12 @@ def seed_and_points(vectors: DataFrame, params: Params, expect_rows: int | None
     (persisted) vectors; the vectors are released afterwards."""
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if expect_rows is not None:  # C6
-            n = vectors.count()
-            if n != expect_rows:
-                raise RowCountError(f"{n} vectors, {expect_rows} expected")
-        init = initial_centers(vectors, params)
-        points = prepare_points(vectors)
+        points = prepare_points(vectors, expect_rows)
+        try:
+            init = initial_centers(vectors, params)
+        except Exception:
+            points.unpersist()
+            raise
     finally:
         vectors.unpersist()
     return init, points

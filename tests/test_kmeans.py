@@ -1,9 +1,13 @@
+import bisect
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
-from postclust.functions.geometry import nearest_center_sql, total_shift
-from postclust.operators.kmeans import assign, fit, kmeans_step, trace_frame
+from postclust.functions.geometry import envelope, nearest_center, nearest_center_sql, total_shift
+from postclust.operators.kmeans import assign, cluster_means, fit, kmeans_step, trace_frame
 from postclust.operators.scoring import score_questions
-from postclust.operators.summary import cluster_results, lang_stats_of_assigned, summarize_clusters
+from postclust.operators.summary import cluster_results, lang_stats_of_assigned, summarize_clusters, weighted_medians
 from postclust.operators.vectors import vectorize, weigh_points
 from postclust.params import Params
 
@@ -140,7 +144,6 @@ def test_weighted_summary_equals_unweighted(spark):
 
 
 def test_step_matches_grouped_means(spark, sf_small):
-    from postclust.operators.kmeans import cluster_means
     from postclust.operators.sampling import initial_centers
     from postclust.plans.analysis import prepare_points
     from postclust.plans.catalog import WIDE, _vectors
@@ -158,35 +161,77 @@ def test_step_matches_grouped_means(spark, sf_small):
 
 
 def test_step_code_does_not_change_with_the_centers(spark, vectors):
-    """The centers reach the plan as a subquery, so nothing in the expression differs."""
+    """The break points are constants that the code refers to, so a fit compiles once."""
     import re
 
-    from postclust.operators.kmeans import assign_by_position
-
-    pts = weigh_points(vectors)
-    shapes = set()
-    for moved in (0, 7):
-        plan = assign_by_position(pts, [(c, x + moved, y) for c, x, y in MEANS])._jdf.queryExecution().optimizedPlan()
-        shapes.add(re.sub(r"#\d+L?", "", plan.toString()))
-    assert len(shapes) == 1
-
-
-def test_literal_and_subquery_centers_agree(spark, vectors):
-    from postclust.operators.kmeans import assign_by_position
-
+    pts = weigh_points(vectors).coalesce(1).persist()
+    pts.count()
+    codes = set()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the code is there before the plan runs
+    try:
+        for moved in (0, 7):
+            df = cluster_means(pts, [(c, x + moved, y) for c, x, y in MEANS], [0, 50000, 200000])
+            parts = df._jdf.queryExecution().debug().codegenToSeq()
+            codes.add(tuple(re.sub(r"/\*.*?\*/|#\d+L?", "", parts.apply(i)._2()) for i in range(parts.size())))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(codes) == 1 and codes != {()}
+
+
+def brute_nearest(x, y, centers):
+    return min(range(len(centers)), key=lambda i: ((x - centers[i][0]) ** 2 + (y - centers[i][1]) ** 2, i))
+
+
+def test_envelope_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        reach = rng.choice([2, 9, 200])
+        centers = [(rng.choice([0, 5, -3]), rng.randint(-reach, reach)) for _ in range(rng.randint(1, 30))]
+        for x in (-1, 0, 5):
+            found = envelope(centers, x)
+            starts = [s for s, _ in found]
+            assert starts == sorted(set(starts)) and len(found) <= len(centers)
+            for y in range(-reach - 3, reach + 4):
+                assert found[bisect.bisect_right(starts, y) - 1][1] == brute_nearest(x, y, centers), (centers, x, y)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 15, 45])
+def test_interval_search_against_brute_force(spark, k):
+    rng = random.Random(k)
+    limit = 2**31 - 1
+    centers = [(i, rng.choice([-1, 0, 100, limit]), rng.choice([rng.randint(-20, 20), limit, -limit])) for i in range(k)]
+    pts = [(rng.choice([-1, 0, 100, limit]), y) for y in [*range(-25, 25), limit, -limit, 0] for _ in range(3)]
+    got = assign(spark.createDataFrame(pts, "x INT, y INT"), centers).collect()
+    assert len(got) == len(pts)
+    assert all(r["cid"] == brute_nearest(r["x"], r["y"], [c[1:] for c in centers]) for r in got)
+
+
+def test_interval_search_agrees_with_the_definition(spark, vectors):
     pts = weigh_points(vectors)
     for centers in (MEANS, [(0, 50000, 50), (1, 50000, 50), (2, 200000, 150)], [(3, 0, 0), (7, 50000, 70)]):
         a = sorted((r["x"], r["y"], r["cid"]) for r in assign(pts, centers).collect())
-        b = sorted((r["x"], r["y"], centers[r["pos"]][0]) for r in assign_by_position(pts, centers).collect())
+        b = sorted(map(tuple, pts.select("x", "y", nearest_center("x", "y", centers)).collect()))
         assert a == b
 
 
 def test_centroid_sums_beyond_bigint(spark):
-    from postclust.operators.kmeans import cluster_means
-
     big = 2_000_000_000
     pts = spark.createDataFrame([(big, 1, 10**10), (big, 4, 10**10)], "x INT, y INT, n BIGINT")
     # x * n summed is 4e19, past the BIGINT range
     assert kmeans_step(pts, [(0, big, 0)]) == [(0, big, 2)]
     row = cluster_means(pts, [(0, big, 0)]).collect()[0]
     assert (row["mx"], row["my"], row["size"]) == (big, 2, 2 * 10**10)
+
+
+def test_weighted_medians_against_percentile(spark):
+    rng = random.Random(9)
+    spread = [1, 50, 70_000, 2**31 - 1]
+    rows = [(g, rng.randint(-spread[g], spread[g]), rng.choice([1, 1, 2, 7])) for g in range(4) for _ in range(rng.choice([1, 40, 41]))]
+    rows += [(5, -3, 1), (5, -4, 1), (6, -2**31, 3), (6, 2**31 - 1, 3), (7, 0, 10**12), (7, 9, 1)]
+    df = spark.createDataFrame(rows, "g INT, v INT, w BIGINT").repartition(4)
+    want = df.groupBy("g").agg(F.sum("w"), F.expr("CAST(percentile(v, 0.5D, w) AS INT)"))
+    got = weighted_medians(df, ["g"], "v", "w")
+    assert got.columns == ["g", "total", "median"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan  # no list or counter of a whole group's values
