@@ -4,12 +4,14 @@
     python -m postclust postings.csv --master local[8]
 
 Bad lines fail the job (``--mode failfast``, the default) or are written aside
-(``--mode quarantine --bad-out <folder>``).
+(``--mode quarantine --bad-out <folder>``; all parsed lines are kept beside it, in
+``<folder>-parsed-...``, so that the text is read once).
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,7 +20,7 @@ from postclust.params import DEFAULT_ETA, DEFAULT_KERNELS, DEFAULT_LANGS, DEFAUL
 from postclust.plans.analysis import run_analysis
 from postclust.session import RECOMMENDED_CONF
 from postclust.sources.report import print_report
-from postclust.sources.text import parse_postings, read_lines
+from postclust.sources.text import GOOD, parse_postings, quarantine, read_lines
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -48,9 +50,16 @@ def main(argv: list[str] | None = None) -> None:
         langs=tuple(args.langs.split(",")), spread=args.spread, kernels=args.kernels, eta=args.eta,
         max_iterations=args.max_iterations, drop_unknown=args.drop_unknown,
     )
-    parsed = parse_postings(read_lines(spark, args.paths), mode=args.mode)
-    if parsed.bad is not None and args.bad_out:
+    lines = read_lines(spark, args.paths)
+    if args.mode == "quarantine" and args.bad_out:
+        # the text is read once; what follows reads the parsed lines
+        parsed = quarantine(lines, f"{args.bad_out.rstrip('/')}-parsed-{uuid.uuid4().hex}")
         parsed.bad.write.mode("overwrite").parquet(args.bad_out)
+        for reason, n in parsed.counts.items():
+            if reason != GOOD:
+                print(f"bad lines: {n} ({reason})")
+    else:
+        parsed = parse_postings(lines, mode=args.mode)
     analysis = run_analysis(parsed.postings, params, expect_rows=args.expect_rows)
     r = analysis.result
     if args.trace:

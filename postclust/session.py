@@ -69,6 +69,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return conf_dir or None
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: the checkpoint folder, else the warehouse."""
+    return ensure_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize a (small, reused) DataFrame so later jobs do not replay its lineage.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,10 @@ FIELD_SEPARATOR = ","
 INT_PATTERN = r"\A[+-]?[0-9]+\z"   # whole-field signed decimal integer
 # -----------------------------------------------------------------------------
 
+# Why a line is bad, in the order of the checks.
+BAD_REASONS = tuple(f"{field}: {what}" for field in ("posting_type", "id", "accepted_answer", "parent_id", "score")
+                    for what in ("missing", "not an int"))
+
 MODES = ("failfast", "quarantine", "drop")
 
 
@@ -116,15 +120,8 @@ def parse_postings(lines: DataFrame, mode: str = "failfast", value_col: str = "v
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    split = _split_fields(lines, F.col(value_col))
-    parts, value = F.col("parts"), F.col("value")
-    record = F.struct(value, bad_reason(parts, F.col("no_field")).alias("reason"), *_typed_fields(parts))
-    # One parsed record per line, emitted by a generator: filters on the
-    # result (the bad-record split, or a caller's ``posting_type = 2``) are not
-    # pushed below a generator, so the field checks are compiled once per line
-    # instead of being inlined into every pushed-down predicate.
-    parsed = split.select(F.inline(F.array(record)))
-    reason = F.col("reason")
+    parsed = parse_records(lines, value_col)
+    reason, value = F.col("reason"), F.col("value")
     if mode == "failfast":
         fail = F.raise_error(F.concat(F.lit("bad posting line ("), reason, F.lit("): "), value))
         # a filter above the generator: whatever columns a consumer reads or
@@ -136,6 +133,55 @@ def parse_postings(lines: DataFrame, mode: str = "failfast", value_col: str = "v
     return ParsedLines(good, bad)
 
 
+def parse_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One parsed record per line: ``(value, reason, posting columns)``, reason NULL for a good line."""
+    split = _split_fields(lines, F.col(value_col))
+    parts = F.col("parts")
+    record = F.struct(F.col("value"), bad_reason(parts, F.col("no_field")).alias("reason"), *_typed_fields(parts))
+    # emitted by a generator: filters on the result (the bad-record split, or a
+    # caller's ``posting_type = 2``) are not pushed below a generator, so the field
+    # checks are compiled once per line instead of being inlined into every
+    # pushed-down predicate
+    return split.select(F.inline(F.array(record)))
+
+
+GOOD, BAD = "good", "bad"
+RECORD_SCHEMA = "value STRING, reason STRING, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in POSTING_SCHEMA.fields) + ", verdict STRING"
+
+
+def with_verdict(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Parsed records with their ``verdict``; a good line's text and a bad line's fields are left out."""
+    parsed, good = parse_records(lines, value_col), F.col("reason").isNull()
+    return parsed.select(
+        F.when(~good, F.col("value")).alias("value"), "reason",
+        *[F.when(good, F.col(c)).alias(c) for c in POSTING_COLUMNS],
+        F.when(good, F.lit(GOOD)).otherwise(F.lit(BAD)).alias("verdict"),
+    )
+
+
+def verdict_metrics() -> list[Column]:
+    """Observed metrics: the number of good lines, and of bad ones by reason."""
+    return [F.count_if(F.col("reason").isNull()).alias(GOOD),
+            *[F.count_if(F.col("reason") == F.lit(r)).alias(r) for r in BAD_REASONS]]
+
+
+@dataclass
+class Quarantined(ParsedLines):
+    counts: dict[str, int]  # lines by "good" or the reason they are bad
+
+
+def quarantine(lines: DataFrame, path: str, value_col: str = "value") -> Quarantined:
+    """S3 in one pass: the lines are read and parsed once and written under ``path``, good and
+    bad ones apart (partitions by verdict); the postings, the bad lines with their reason, both
+    read from there, and the counts that the write observed."""
+    spark, seen = lines.sparkSession, Observation()
+    with_verdict(lines, value_col).observe(seen, *verdict_metrics()).write.partitionBy("verdict").parquet(path)
+    written = spark.read.schema(RECORD_SCHEMA).parquet(path)
+    good = written.where(F.col("verdict") == GOOD).select(*POSTING_COLUMNS)
+    bad = written.where(F.col("verdict") == BAD).select("value", "reason")
+    return Quarantined(good, bad, {k: n for k, n in seen.get.items() if n})
+
+
 def render_lines(postings: DataFrame) -> DataFrame:
     """Postings back to lines (``value STRING``); empty optional fields stay empty."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from postclust.sources.text import ParsedLines, parse_postings
+from postclust.sources.text import ParsedLines, parse_postings, verdict_metrics, with_verdict
 
 
 def read_posting_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -47,3 +47,18 @@ def write_parsed(parsed: ParsedLines, out_folder: str, checkpoint_folder: str,
             writer = writer.trigger(availableNow=True)
         queries.append(writer.start())
     return queries
+
+
+def write_quarantined(lines: DataFrame, out_folder: str, checkpoint_folder: str, available_now: bool = True) -> StreamingQuery:
+    """S3 in one query: every line is read and parsed once and appended under ``out_folder``, good
+    and bad ones apart (partitions by ``verdict``). The progress of the query has the counts of
+    good lines and of bad ones by reason as observed metrics ``lines``."""
+    parsed = with_verdict(lines).observe("lines", *verdict_metrics())
+    writer = (
+        parsed.writeStream.format("parquet")
+        .partitionBy("verdict")
+        .option("path", out_folder)
+        .option("checkpointLocation", checkpoint_folder)
+        .outputMode("append")
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
