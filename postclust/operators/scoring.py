@@ -1,9 +1,8 @@
 """Best answer score per question (A2, A3).
 
-The answers are reduced to their maximum score per question *before* the join
-(partial max per task, then one shuffle on the key), and the questions to one
-row per id, so however many answers (or copies) a question has, it contributes
-one row per side to the join.
+Answers are reduced to their maximum score per question and questions to one row
+per id by partial aggregates before the one shuffle on the key, so however many
+answers (or copies) a question has, it contributes one row per task.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postclust.operators.postings import answers, questions
+from postclust.operators.postings import ANSWER, QUESTION, answers, questions
 
 
 def best_answer_scores(postings: DataFrame) -> DataFrame:
@@ -24,14 +23,18 @@ def best_answer_scores(postings: DataFrame) -> DataFrame:
 QUESTION_COLUMNS = ["tags", "question_score", "accepted_answer"]
 
 
-def unique_questions(postings: DataFrame) -> DataFrame:
-    """One question row per id: copies of an id fold into the one with the
+def question_key():
+    """A question's columns as one value; of copies of an id the least stays: the
     smallest tag, then score, then accepted answer (NULLs last)."""
-    key = F.struct(
+    return F.struct(
         F.col("tags").isNull().alias("tags_null"), "tags", "question_score",
         F.col("accepted_answer").isNull().alias("accepted_null"), "accepted_answer",
     )
-    return questions(postings).groupBy("question_id").agg(F.min(key).alias("q")).select(
+
+
+def unique_questions(postings: DataFrame) -> DataFrame:
+    """One question row per id."""
+    return questions(postings).groupBy("question_id").agg(F.min(question_key()).alias("q")).select(
         "question_id", *[F.col(f"q.{c}").alias(c) for c in QUESTION_COLUMNS]
     )
 
@@ -40,12 +43,19 @@ def score_questions(postings: DataFrame) -> DataFrame:
     """A3: ``(question_id, tags, question_score, accepted_answer, high_score)``
     for every answered question.
 
-    Both sides are reduced to one row per question id before the join. The
-    question side folds duplicate ids with a partial aggregate per task, so
-    even an id whose copies make up a large share of all questions crosses the
-    shuffle as one row per task (the fold sorts locally, as ``min`` over a
-    struct is a sort-based aggregate). Both join inputs come out unique per key
-    and partitioned and sorted on it, so the join adds no exchange, no sort,
-    and no key can be hot.
+    Every posting is keyed once (a question by its id, an answer by its parent) and both
+    kinds fold in one aggregate, so the input is read once and shuffled once. The partial
+    aggregate of each task leaves one row per question id, so an id whose copies or
+    answers make up a large share of all rows crosses the shuffle as one row per task
+    (the fold sorts locally, as ``min`` over a struct is a sort-based aggregate).
     """
-    return unique_questions(postings).join(best_answer_scores(postings), "question_id", "inner")
+    kind = F.col("posting_type")
+    keyed = postings.withColumnRenamed("score", "question_score").select(
+        F.when(kind == QUESTION, F.col("id")).when(kind == ANSWER, F.col("parent_id")).alias("question_id"),
+        F.when(kind == QUESTION, question_key()).alias("q"),
+        F.when(kind == ANSWER, F.col("question_score")).alias("answer_score"),
+    ).filter(F.col("question_id").isNotNull())
+    folded = keyed.groupBy("question_id").agg(F.min("q").alias("q"), F.max("answer_score").alias("best"))
+    return folded.filter(F.col("q").isNotNull() & F.col("best").isNotNull()).select(
+        "question_id", *[F.col(f"q.{c}").alias(c) for c in QUESTION_COLUMNS],
+        F.greatest(F.lit(0), F.col("best")).alias("high_score"))
