@@ -8,9 +8,11 @@ DataFrame whose column names match the oracle SQL in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postclust.functions.geometry import total_shift
 from postclust.operators import joins, postings as post
@@ -21,10 +23,11 @@ from postclust.operators.summary import cluster_lang_stats
 from postclust.operators.vectors import vectorize, weigh_points, with_labels
 from postclust.params import Params
 from postclust.plans.analysis import fit_vectors, run_analysis, seed_and_points
-from postclust.session import cut_lineage
+from postclust.session import cut_lineage, scratch_folder
 from postclust.sources.report import report_lines
+from postclust.sources.stored import store_postings
 from postclust.sources.tables import PRIORITY_LANGS, TABLE_PARAMS, postings_from_tables, read_table
-from postclust.sources.text import parse_postings, render_lines, text_lines
+from postclust.sources.text import parse_postings, quarantine, read_lines, render_lines, text_lines
 
 # --- Fixed values: parameter sets of the registered queries ------------------
 WIDE = TABLE_PARAMS                         # spread 50000: one language per cluster, W1 seed
@@ -57,6 +60,19 @@ def q_parse_postings(spark, sf_dir):
     return parse_postings(render_lines(_postings(spark, sf_dir)), mode="failfast").postings
 
 
+def q_text_postings(spark, sf_dir):
+    """S1 + S2 over files: the postings are written as lines, scanned and parsed."""
+    path = f"{scratch_folder(spark)}/lines-{uuid.uuid4().hex}"
+    render_lines(_postings(spark, sf_dir)).write.text(path)
+    return parse_postings(read_lines(spark, path), mode="failfast").postings
+
+
+def q_quarantine(spark, sf_dir):
+    """S3 in one pass over the mixed feed: the bad lines, read from what it wrote."""
+    path = f"{scratch_folder(spark)}/parsed-{uuid.uuid4().hex}"
+    return quarantine(posting_feed(spark, sf_dir), path).bad
+
+
 def q_bad_records(spark, sf_dir):
     return parse_postings(posting_feed(spark, sf_dir), mode="quarantine").bad
 
@@ -82,6 +98,34 @@ def q_left_join_questions(spark, sf_dir):
     return joins.left_join_questions(_postings(spark, sf_dir))
 
 
+def _pair_stats(pairs: DataFrame) -> DataFrame:
+    score = F.col("answer_score")
+    return pairs.groupBy("question_id").agg(
+        F.count("*").alias("n_rows"), F.count("answer_id").alias("n_answers"), F.sum(score).alias("sum_score"),
+        F.min(score).alias("least_score"), F.max(score).alias("best_score"), F.max("answer_id").alias("last_answer"),
+        F.min("tags").alias("first_tag"), F.sum("question_score").alias("sum_question_score"))
+
+
+def q_join_pairs_stats(spark, sf_dir):
+    """J1, its pairs folded per question."""
+    return _pair_stats(joins.join_pairs(_postings(spark, sf_dir)))
+
+
+def q_left_join_stats(spark, sf_dir):
+    """J2, its rows folded per question."""
+    return _pair_stats(joins.left_join_questions(_postings(spark, sf_dir)))
+
+
+def q_stored_left_pairs(spark, sf_dir):
+    """J1 and J2 over postings stored by question."""
+    return _pair_stats(store_postings(_postings(spark, sf_dir)).left_pairs())
+
+
+def q_stored_scores(spark, sf_dir):
+    """A2 and A3 over postings stored by question."""
+    return store_postings(_postings(spark, sf_dir)).scored()
+
+
 def q_grouped_counts(spark, sf_dir):
     return joins.grouped_counts(_postings(spark, sf_dir))
 
@@ -208,12 +252,18 @@ def q_report(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "q_parse_postings": q_parse_postings,
+    "q_text_postings": q_text_postings,
     "q_bad_records": q_bad_records,
+    "q_quarantine": q_quarantine,
     "q_questions": q_questions,
     "q_answers": q_answers,
     "q_join_pairs": q_join_pairs,
     "q_join_pairs_salted": q_join_pairs_salted,
     "q_left_join_questions": q_left_join_questions,
+    "q_join_pairs_stats": q_join_pairs_stats,
+    "q_left_join_stats": q_left_join_stats,
+    "q_stored_left_pairs": q_stored_left_pairs,
+    "q_stored_scores": q_stored_scores,
     "q_grouped_counts": q_grouped_counts,
     "q_scored_questions": q_scored_questions,
     "q_vectors": q_vectors,

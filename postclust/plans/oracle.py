@@ -49,6 +49,28 @@ scored AS (
     ON uq.question_id = ba.question_id)"""
 
 
+# Questions and answers straight from their tables, for the joins.
+_QUESTION_ID = "CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey - 1 ELSE o_orderkey END"
+_ANSWER_ID = "(l_orderkey * 10 + l_linenumber)"
+
+
+def _pairs_sql(join: str) -> str:
+    return f"""
+SELECT question_id, tags, question_score, answer_id, answer_score
+FROM (SELECT {_QUESTION_ID} AS question_id, o_orderpriority AS tags, CAST(o_orderkey % 41 - 20 AS INTEGER) AS question_score
+      FROM orders) q
+{join} (SELECT l_orderkey AS parent_id, {_ANSWER_ID} AS answer_id, CAST(floor(l_extendedprice / 100) AS INTEGER) - 300 AS answer_score
+      FROM lineitem WHERE {_ANSWER_ID} % 89 <> 0 AND {_ANSWER_ID} % 97 <> 0) a ON parent_id = question_id"""
+
+
+def _pair_stats_sql(join: str) -> str:
+    return f"""
+SELECT question_id, count(*) AS n_rows, count(answer_id) AS n_answers, CAST(sum(answer_score) AS BIGINT) AS sum_score,
+       min(answer_score) AS least_score, max(answer_score) AS best_score, max(answer_id) AS last_answer,
+       min(tags) AS first_tag, CAST(sum(question_score) AS BIGINT) AS sum_question_score
+FROM ({_pairs_sql(join)}) p GROUP BY question_id"""
+
+
 def _langs_values(params: Params) -> str:
     rows = ", ".join(f"({_lit(l)}, {i})" for i, l in enumerate(params.langs))
     return f"langs(lang, idx) AS (VALUES {rows})"
@@ -258,19 +280,22 @@ def oracle_sql() -> dict[str, str]:
     return {
         "q_parse_postings": _with(POSTINGS, _parse_ctes(f"SELECT {_render('postings')}"))
         + f"\nSELECT {_parsed_columns()} FROM checked",
+        "q_text_postings": _with(POSTINGS, _parse_ctes(f"SELECT {_render('postings')}"))
+        + f"\nSELECT {_parsed_columns()} FROM checked",
+        "q_quarantine": _with(POSTINGS, _parse_ctes(_feed_sql()))
+        + "\nSELECT value, reason FROM checked WHERE reason IS NOT NULL",
         "q_bad_records": _with(POSTINGS, _parse_ctes(_feed_sql()))
         + "\nSELECT value, reason FROM checked WHERE reason IS NOT NULL",
         "q_questions": base + "\nSELECT question_id, tags, question_score, accepted_answer FROM q",
         "q_answers": base + "\nSELECT question_id, answer_id, answer_score FROM a",
-        "q_join_pairs": base + """
-SELECT a.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
-FROM a JOIN q ON a.question_id = q.question_id""",
-        "q_join_pairs_salted": base + """
-SELECT a.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
-FROM a JOIN q ON a.question_id = q.question_id""",
-        "q_left_join_questions": base + """
-SELECT q.question_id, q.tags, q.question_score, a.answer_id, a.answer_score
-FROM q LEFT JOIN a ON a.question_id = q.question_id""",
+        "q_join_pairs": _pairs_sql("JOIN"),
+        "q_join_pairs_salted": _pairs_sql("JOIN"),
+        "q_left_join_questions": _pairs_sql("LEFT JOIN"),
+        "q_join_pairs_stats": _pair_stats_sql("JOIN"),
+        "q_left_join_stats": _pair_stats_sql("LEFT JOIN"),
+        "q_stored_left_pairs": _pair_stats_sql("LEFT JOIN"),
+        "q_stored_scores": "WITH " + SCORED
+        + "\nSELECT question_id, tags, question_score, accepted_answer, high_score FROM scored",
         "q_grouped_counts": base + """
 SELECT q.question_id, CAST(count(*) AS BIGINT) AS n_pairs
 FROM q JOIN a ON a.question_id = q.question_id GROUP BY q.question_id""",
