@@ -23,11 +23,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postclust.llm.bpe import default_tokenizer_path, encoder, text_batches
+from postclust.llm.bpe import array_batches, default_tokenizer_path, encoder, release_memory
 from postclust.llm.common import materialize
 
 CAPACITY = 2048
@@ -37,6 +37,8 @@ END_ID = 0
 RANK_SALTS = 64
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids"]
+PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 PLAN_SCHEMA = "length long, first_rank long, n long, per_sequence long, first_sequence long, first_offset long"
 
 
@@ -49,21 +51,22 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents with their ids (little-endian unsigned 32-bit)."""
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path).encode_batch
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
-            for part in text_batches(texts):
-                out = []
-                for key, ids in zip(keys[part], encode(texts[part])):
-                    ids += end
-                    for i, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        out.append((key, i, start, length, ids[4 * start:4 * (start + length)]))
-                frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids"])
-                yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, PIECE_SCHEMA)
+            texts, keys = batch.column("text"), batch.column("doc_id").to_pylist()
+            for part in array_batches(texts):
+                ids, n = coder.encode_array(texts[part])
+                raw, ends, out = ids.astype("<u4").tobytes(), 4 * np.cumsum(n), []
+                for key, a, b in zip(keys[part], [0, *ends.tolist()], ends.tolist()):
+                    own = raw[a:b] + end
+                    for i, (start, length) in enumerate(cut(len(own) // 4, capacity)):
+                        out.append((key, i, start, length, own[4 * start:4 * (start + length)]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), PIECE_TYPES)], names=PIECE_NAMES)
+        release_memory()
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECE_SCHEMA)
 
 
 def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

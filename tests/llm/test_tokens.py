@@ -13,7 +13,7 @@ from edge_rows import EDGE_ROWS
 from postclust.llm.best_fit import CAPACITY, cut, pack, plan_slots
 from postclust.llm.bpe import ChunkEncoder, default_tokenizer_path
 from postclust.llm.token_counts import RankMerger, token_counts
-from postclust.llm.wavelet import WaveletMatrix, decode, find_token, read_shards, round_trip, write_shards
+from postclust.llm.wavelet import WaveletMatrix, count_token, decode, find_token, read_shards, round_trip, token_at, with_starts, write_shards
 
 
 @pytest.fixture(scope="module")
@@ -46,8 +46,24 @@ def test_full_memory_keeps_results_right(library, monkeypatch):
 
     monkeypatch.setattr(bpe, "CACHE_CHUNKS", 5)
     monkeypatch.setattr(bpe, "CACHE_CHUNK_CHARS", 4)
+    monkeypatch.setattr(bpe, "KNOWN_CHUNKS", 5)
+    encoder, merger = ChunkEncoder(default_tokenizer_path()), RankMerger(default_tokenizer_path())
+    for text in ("one two three four five six seven", "longer words again, longer words.", "one longer two words", "on, on. two one one six six fi ve a b") * 2:
+        assert np.frombuffer(encoder.encode_batch([text])[0], "<u4").tolist() == ids_of(library, text)
+        assert merger.count_batch([text]) == [len(ids_of(library, text))]
+        assert len(encoder.known.first) <= 12
+
+
+def test_batches_of_little(library):
+    encoder = ChunkEncoder(default_tokenizer_path())
+    for texts in ([], [None], [""], ["", None, ""], [" "], ["<|endoftext|>"], ["", "<|endoftext|>", None, "a"], ["  ", "a  "]):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_batch(texts)] == [ids_of(library, t) for t in texts]
+
+
+def test_one_half_of_a_hash_does_not_decide(library):
     encoder = ChunkEncoder(default_tokenizer_path())
-    for text in ("one two three four five six seven", "longer words again, longer words.", "one longer two words"):
+    encoder.table[0] = 0  # the first halves are all alike
+    for text in ("a bc, def. bc def a xyz", "bc xyz xyz, a. def ghi", "a bc, def. bc def a xyz"):
         assert np.frombuffer(encoder.encode_batch([text])[0], "<u4").tolist() == ids_of(library, text)
 
 
@@ -57,6 +73,7 @@ def test_every_letter_class(library):
     texts = [f"a{chr(c)}1 {chr(c)}b  {chr(c)} !{chr(c)}{chr(c)}\n x" for c in points]
     want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
     assert RankMerger(default_tokenizer_path()).count_batch(texts) == want
+    assert [len(b) // 4 for b in ChunkEncoder(default_tokenizer_path()).encode_batch(texts)] == want
 
 
 def test_token_counts(edge_docs, no_docs, library):
@@ -153,3 +170,18 @@ def test_find_token(spark, edge_docs, library, tmp_path):
     got = sorted((r.doc_id, r.place) for r in find_token(shards, token).collect())
     text = dict((i, t) for i, t, _ in EDGE_ROWS)[10]
     assert got == [(10, k) for k, x in enumerate(ids_of(library, text)) if x == token]
+
+
+def test_lookups_on_written_files(spark, edge_docs, library, tmp_path):
+    path = str(tmp_path / "shards")
+    write_shards(edge_docs.repartition(4), path, block_tokens=70)
+    shards = read_shards(spark, path)
+    rows = with_starts(shards, decode(shards)).orderBy("start").collect()
+    every = [int(x) for r in rows for x in np.frombuffer(r.ids, "<u4")]
+    assert shards.count() > 3
+    for token in (2, ids_of(library, " alpha")[0], ids_of(library, "ab")[0], 50256, 49000):
+        for upto in (None, 0, 1, 69, 500, len(every) - 1, len(every), len(every) + 9):
+            assert count_token(shards, token, upto) == every[:upto].count(token)
+    places = [0, 1, 69, 70, 71, 1234, len(every) - 1, len(every), -1]
+    assert token_at(shards, places) == {p: every[p] for p in places if 0 <= p < len(every)}
+    assert token_at(shards, []) == {} and token_at(shards.where("false"), [0]) == {} and count_token(shards.where("false"), 2) == 0
