@@ -4,8 +4,9 @@ Documents are dealt out by ranges of ``doc_id``; each range is one shard, one
 compressed Parquet file. Its rows are blocks of whole documents of about
 ``BLOCK_TOKENS`` ids, each a wavelet matrix: one bit-plane per bit of an id, the
 ids of a plane ordered stably by the bits above it, with the ones before every
-512th bit counted. From the file alone follow the id at a place (access), how
-often an id occurs before a place (rank) and where it occurs (select).
+512th bit counted. From the files follow the id at a place (``token_at``, by access), how
+often an id occurs before a place (``count_token``, by rank) and where it occurs
+(``find_token``, by select).
 
 Edge cases: a null or empty text has the end id alone; documents without
 ``doc_id`` come first, ties and copies side by side by a hash of their text; a
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postclust.llm.bpe import default_tokenizer_path, encoder, text_batches
+from postclust.llm.bpe import array_batches, default_tokenizer_path, encoder, release_memory
 from postclust.llm.common import BROADCAST_ROWS, scratch_path
 
 END_ID = 2
@@ -169,11 +170,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for part in text_batches(texts):
-                for key, coded in zip(ids[part], coder.encode_batch(texts[part])):
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for part in array_batches(texts):
+                ids, n = coder.encode_array(texts[part])
+                for key, coded in zip(doc_ids[part], np.split(ids, np.cumsum(n)[:-1])):
                     keys.append(key)
-                    parts.append(coded + end)
+                    parts.append(coded.astype("<u4").tobytes() + end)
                     size += len(parts[-1]) // 4
                     if size >= block_tokens:
                         yield closed()
@@ -181,6 +183,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str | None = None,
                         keys, parts, size = [], [], 0
         if parts:
             yield closed()
+        release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
@@ -241,6 +244,39 @@ def find_token(shards: DataFrame, token: int) -> DataFrame:
     return shards.mapInArrow(places, "shard int, doc_id long, place long")
 
 
+def count_token(shards: DataFrame, token: int, upto: int | None = None) -> int:
+    """How often an id occurs before place ``upto`` of the whole output (everywhere if None): ranks
+    of the blocks before it, read from their bit-planes. A block gives one number."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [_block(row).rank(token, max(0, min(row["n_tokens"], row["upto"] - row["start"]))) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n"])
+
+    placed = _placed(shards).withColumn("upto", F.lit(upto).cast("long") if upto is not None else F.col("start") + F.col("n_tokens"))
+    return placed.where("start < upto").mapInArrow(counted, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def token_at(shards: DataFrame, places: list[int]) -> dict[int, int]:
+    """The ids at some places of the whole output (a place beyond it is left out). Only the blocks
+    that hold them are opened, and each gives its few ids."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(p, block.access(p - row["start"])) for row in batch.to_pylist() for block in [_block(row)]
+                     for p in places if row["start"] <= p < row["start"] + row["n_tokens"]]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["place", "id"])
+
+    wanted = F.array(*[F.lit(p).cast("long") for p in places])
+    held = F.exists(wanted, lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("n_tokens")))
+    return dict(_placed(shards).where(held).mapInArrow(read, "place long, id long").collect()) if places else {}
+
+
+def _placed(shards: DataFrame) -> DataFrame:
+    """Blocks with ``start``, the ids of all blocks before in the whole output."""
+    return with_starts(shards, shards.withColumn("start_in_shard", F.col("first")))
+
+
 def round_trip(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write the shards to the shared folder and read them back: ``(doc_id, start, ids)``."""
     path = scratch_path(docs.sparkSession, "shards")
