@@ -4,9 +4,9 @@ A forward and a backward GRU read the UTF-8 bytes of a text, in sequences of
 ``STEPS`` bytes; every position gets a probability for each language from both
 states, and a document's probabilities are the mean over all its positions. The
 network is trained in numpy by backpropagation through time, on the driver, from
-a bounded sample: at most ``SAMPLE_DOCS`` training documents, equally many of
-each of the ``MAX_LANGS`` most frequent labels, the ones with the least hash of their
-id, and of each a passage of ``PASSAGE`` characters at a place that a hash decides. Every
+a bounded sample: at most ``SAMPLE_DOCS`` training documents, equally many of each
+label (``LEAST_A_LABEL`` at least, so more where there are over 600 labels), the ones with
+the least hash of their id, and of each a passage of ``PASSAGE`` characters at a place that a hash decides. Every
 document is then read whole, in tasks that hold one block of sequences at a time.
 
 Training documents are those whose ``crc32(doc_id as text) mod 4`` is not 2 and whose
@@ -27,12 +27,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postclust.llm.bpe import release_memory
+
 STEPS = 64
 HIDDEN = 8
 BLOCK = 2048           # sequences that run side by side
 
 SAMPLE_DOCS = 2400
-MAX_LANGS = 64
+LEAST_A_LABEL = 4
+SAMPLE_SALTS = 16
 PASSAGE = 800
 
 BATCH = 256
@@ -203,18 +206,25 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
-    """Bounded training sample: passages and their labels."""
+    """Training sample: passages and their labels, of every label there is. It has at most
+    ``SAMPLE_DOCS`` rows, or ``LEAST_A_LABEL`` a label where labels are very many."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    langs = rows.select("lang").distinct().count()
     if not langs:
         return [], []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    each = SAMPLE_DOCS // len(langs)
-    ids = rows.where(F.col("lang").isin(langs)).select("lang", "doc_id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
+    each = max(LEAST_A_LABEL, SAMPLE_DOCS // langs)
+    # two limits, so that one task meets at most SAMPLE_SALTS * each rows of a label, however many tasks scan it
+    salted = rows.select("lang", "doc_id").withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SAMPLE_SALTS)))
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    ids = salted.withColumn("n", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("n") <= each)
+    ids = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= each)
     place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.greatest(F.length("text") - PASSAGE, F.lit(0)) + 1) + 1
     passage = rows.select("lang", "doc_id", F.substr("text", place.cast("int"), F.lit(PASSAGE)).alias("passage"))
-    wanted = F.broadcast(ids.select("lang", "doc_id").distinct())  # at most SAMPLE_DOCS rows
-    taken = passage.join(wanted, ["lang", "doc_id"], "left_semi").orderBy("doc_id", "lang", "passage").limit(SAMPLE_DOCS).collect()
+    wanted = F.broadcast(ids.select("lang", "doc_id").distinct())  # as many rows as the sample at most
+    # rows alike in label and id bring their passages too: each label keeps its first ones
+    taken = passage.join(wanted, ["lang", "doc_id"], "left_semi").distinct()
+    first = Window.partitionBy("lang").orderBy(*order, "passage")
+    taken = taken.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).orderBy("doc_id", "lang", "passage").collect()
     return [r["passage"] for r in taken], [r["lang"] for r in taken]
 
 
@@ -232,6 +242,10 @@ def fit(docs: DataFrame) -> BiGru | None:
 BYTES_AT_ONCE = 4_000_000
 
 
+def has_letters(text: Column) -> Column:
+    return F.rlike(text, F.lit(r"\p{L}"))
+
+
 def predict(docs: DataFrame, model: BiGru | None) -> DataFrame:
     """All columns of ``docs`` as ``row``, with ``lang_pred`` and ``score``."""
 
@@ -258,8 +272,9 @@ def predict(docs: DataFrame, model: BiGru | None) -> DataFrame:
             if part:
                 done()
             yield pd.DataFrame({"lang_pred": pred, "score": score})
+        release_memory()
 
-    text = F.when(F.rlike("text", F.lit(r"\p{L}")), F.col("text"))
+    text = F.when(has_letters(F.col("text")), F.col("text"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), judge(text).alias("judged"))
     return rows.select("row", "judged.lang_pred", "judged.score")
 

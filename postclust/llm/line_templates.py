@@ -14,8 +14,9 @@ The lines of a leaf form templates of three kinds:
 * a line with one run of places after the leading words open, as long as leaves
   ``AGREEMENT`` of these places, and a word constant. A leaf can have any number of these.
 
-A line goes by the common form if it matches one that recurs, else by its forms with a
-run open (it stays where it is the first of any), else by itself. A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay in
+A line goes by the common form if it matches one that recurs, else by that of its recurring forms
+with a run open that most documents hold (of several, the one whose first document comes first),
+else by itself. A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines stay in
 the first of those documents (the least ``doc_id``) and are dropped elsewhere.
 
 Edge cases: a null text stays null, an empty one stays empty (no lines dropped); lines of
@@ -29,7 +30,7 @@ DataFrame functions only: no Python runs on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postclust.llm.common import keep_listed, materialize, salted_lookup
@@ -60,7 +61,10 @@ def lines_of(rows: DataFrame) -> DataFrame:
     """Each line with its words (fields open, unless no word were left) and its leaf in the tree."""
     # words are made inside the generator, else each later use of them repeats the patterns
     said = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("line"), words_of(opened(line)).alias("words")))
-    line = rows.select(*DOC, F.posexplode(said).alias("line_no", "said")).select(*DOC, "line_no", "said.*")
+    return leaves_of(rows.select(*DOC, F.posexplode(said).alias("line_no", "said")).select(*DOC, "line_no", "said.*"))
+
+
+def leaves_of(line: DataFrame) -> DataFrame:
     enough = (F.size("words") >= MIN_WORDS) | (F.regexp_count("line", F.lit(UNSPACED)) >= MIN_WORDS)
     line = line.where(enough).withColumn("bare", F.expr(f"words[0] = '{FIELD}' and forall(words, w -> w = '{FIELD}')"))
     line = line.withColumn("words", F.when(F.col("bare"), words_of(F.col("line"))).otherwise(F.col("words")))
@@ -74,7 +78,9 @@ def opened(line: Column) -> Column:
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
+    # most lines have no white space but single spaces
+    plain = F.when(F.rlike(line, F.lit(r"[\s&&[^ ]]|  ")), F.regexp_replace(line, r"\s+", " ")).otherwise(line)
+    return F.split(F.trim(plain), " ")
 
 
 def parsed(rows: DataFrame) -> DataFrame:
@@ -92,13 +98,20 @@ def recurring(seen: DataFrame, keys: list[str]) -> DataFrame:
     return seen.groupBy(*keys).agg(F.count("*").alias("docs"), F.min(doc_key()).alias("first")).where(F.col("docs") >= MIN_DOCS)
 
 
-def different_lines(rows: DataFrame, seen: DataFrame) -> DataFrame:
-    """``(leaf, form, words)``: the different lines of the leaves that have several."""
+def different_lines(rows: DataFrame, lines: DataFrame, seen: DataFrame) -> DataFrame:
+    """``(leaf, form, words)``: the different lines of the leaves that have several. One line
+    stands for all with its words, and only for those lines are words made again."""
     per_leaf = seen.groupBy("leaf", *DOC).agg(F.min("form").alias("a"), F.max("form").alias("b"))
     leaves = per_leaf.groupBy("leaf").agg(F.count("*").alias("docs"), F.min("a").alias("a"), F.max("b").alias("b"))
     mixed = materialize(leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("a") != F.col("b"))).select("leaf"), "leaves")
-    different = keep_listed(lines_of(rows), mixed, ["leaf"]).select("leaf", "words").distinct()
-    return materialize(different.select("leaf", F.xxhash64("words").alias("form"), "words"), "different")
+    one = keep_listed(lines, mixed, ["leaf"]).groupBy("leaf", "form").agg(F.min(F.struct(*DOC, "line_no")).alias("one"))
+    standing = materialize(one.select("one.*").distinct(), "standing")
+    said = rows.select(*DOC, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # rows alike in id and text give a line several times
+    said = keep_listed(said, standing, [*DOC, "line_no"]).groupBy(*DOC, "line_no").agg(F.first("line").alias("line"))
+    made = said.select(*DOC, "line_no", F.inline(F.array(F.struct("line", words_of(opened(F.col("line"))).alias("words")))))
+    different = leaves_of(made).select("leaf", F.xxhash64("words").alias("form"), "words")
+    return materialize(different, "different")
 
 
 def common_forms(different: DataFrame) -> DataFrame:
@@ -119,9 +132,13 @@ def common_forms(different: DataFrame) -> DataFrame:
     return matched.where(matches).select("leaf", "form")
 
 
+#: Bits of a word's share in a sum, so that a sum over a line stays within 64.
+SHARE_BITS = 40
+
+
 def run_forms(different: DataFrame, seen: DataFrame) -> DataFrame:
-    """``(leaf, form, run_firsts)``: the lines that recur as forms with a run of places open,
-    with the first document of each such form."""
+    """``(leaf, form, run_first)``: the lines that recur as forms with a run of places open, with
+    the first document of the form that most documents hold."""
     after = F.size("words") - LEADING
     lines = different.withColumn("run", (after - F.ceil(AGREEMENT * after)).cast("int")).where("run >= 1")
     # a run leaves the first or the last third of the places whole: only lines that share one are opened
@@ -133,16 +150,28 @@ def run_forms(different: DataFrame, seen: DataFrame) -> DataFrame:
     alike = materialize(keep_listed(thirds, met, ["third"]).select("leaf", "form").distinct(), "alike")
     near = materialize(keep_listed(lines, alike, ["leaf", "form"]), "near")
 
-    start = F.explode(F.sequence(F.lit(LEADING + 1), F.size("words") - F.col("run") + 1)).alias("at")
-    outside = F.expr("concat(slice(words, 1, at - 1), slice(words, at + run, size(words)))").alias("outside")
-    opened = near.select("*", start).select("leaf", "form", "at", outside).where(F.expr(f"exists(outside, w -> w <> '{FIELD}')"))
-    opened = opened.select("leaf", "form", F.xxhash64("leaf", "at", "outside").alias("template"))
+    # what stands outside a run is the sum over the line less the sum over the run: each word adds hashes
+    # of itself and its place; sums up to a place are made once a line, so a line costs what its length is
+    word = near.select("leaf", "form", "run", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
+    share = lambda k: F.xxhash64("word", "at", F.lit(k)).bitwiseAND(F.lit((1 << SHARE_BITS) - 1))
+    sums = {"a": share(0), "b": share(1), "fixed": (F.col("word") != FIELD).cast("long")}
+    line, upto = Window.partitionBy("leaf", "form"), Window.partitionBy("leaf", "form").orderBy("at")
+    summed = word.select("leaf", "form", "run", "size", "at", *[F.sum(c).over(upto).alias(k) for k, c in sums.items()],
+                         *[F.sum(c).over(line).alias(f"all_{k}") for k, c in sums.items()])
+    # the sum up to a run's last place counts, that up to the place before it counts off
+    ends = F.array(F.struct((F.col("at") - F.col("run") + 1).alias("start"), F.lit(1).alias("sign")),
+                   F.struct((F.col("at") + 1).alias("start"), F.lit(-1).alias("sign")))
+    parts = summed.select("*", F.inline(ends)).where(f"start >= {LEADING} and start <= size - run")
+    outside = [(F.first(f"all_{k}") - F.sum(F.col("sign") * F.col(k))).alias(k) for k in sums]
+    opened = parts.groupBy("leaf", "form", "start").agg(*outside).where("fixed > 0")
+    opened = materialize(opened.select("leaf", "form", F.xxhash64("leaf", "start", "a", "b").alias("template")), "opened")
     several = materialize(opened.groupBy("template").count().where("count > 1").select("template"), "several")
     members = materialize(keep_listed(opened, several, ["template"]), "members")
     held = keep_listed(seen, members, ["leaf", "form"], "inner").select("template", *DOC).distinct()
-    firsts = materialize(recurring(held, ["template"]).select("template", "first"), "firsts")
+    firsts = materialize(recurring(held, ["template"]), "firsts")
     found = salted_lookup(members, "template", firsts, ["form"], how="inner")
-    return found.groupBy("leaf", "form").agg(F.collect_set("first").alias("run_firsts"))
+    return found.groupBy("leaf", "form").agg(F.min(F.struct((-F.col("docs")).alias("rank"), "first")).alias("most")).select(
+        "leaf", "form", F.col("most.first").alias("run_first"))
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
@@ -153,7 +182,7 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     seen = materialize(lines.select("leaf", "form", *DOC).distinct(), "seen")
     own = recurring(seen, ["leaf", "form"]).select("leaf", "form", F.col("first").alias("own_first"))
 
-    different = different_lines(rows, seen)
+    different = different_lines(rows, lines, seen)
     common = materialize(common_forms(different), "common")
     in_common = seen.join(common, ["leaf", "form"], "left_semi")
     shared = recurring(in_common.select("leaf", *DOC).distinct(), ["leaf"])
@@ -162,10 +191,10 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     runs = materialize(run_forms(different, seen), "runs")
     template = own.join(shared, ["leaf", "form"], "full").join(runs, ["leaf", "form"], "full")
     template = materialize(template.select(
-        F.struct("leaf", "form").alias("template"), "own_first", "run_firsts", "common_first"), "templates")
+        F.struct("leaf", "form").alias("template"), "own_first", "run_first", "common_first"), "templates")
     marked = salted_lookup(lines.withColumn("template", F.struct("leaf", "form")), "template", template,
                            ["_text_hash", "line_no"], how="inner")
-    later = F.coalesce(doc_key() != F.col("common_first"), ~F.array_contains("run_firsts", doc_key()), doc_key() != F.col("own_first"))
+    later = F.coalesce(doc_key() != F.col("common_first"), doc_key() != F.col("run_first"), doc_key() != F.col("own_first"))
     dropped = marked.where(later).groupBy(*DOC).agg(F.collect_set("line_no").alias("_dropped"))
 
     # the row travels as one struct: no column of it can clash with the names used here

@@ -9,10 +9,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import line_model
 from edge_rows import EDGE_ROWS, prose
 
 import corpus_pipeline
+from test_near import fingerprint, roots_of
+from tokenizers import Tokenizer
+
 from postclust.llm import decontaminate, language_id, secrets
+from postclust.llm.bpe import default_tokenizer_path
 from postclust.llm.line_templates import drop_recurring_lines
 
 from postclust.llm.queries import ORACLE, QUERIES
@@ -203,6 +208,56 @@ def test_several_templates_in_a_leaf(spark):
     assert not any(got[16:])
 
 
+def modelled(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in drop_recurring_lines(frame).collect())
+    assert got == Counter(line_model.model(docs))
+    return got
+
+
+def test_lines_against_the_model(spark):
+    import random
+
+    con = duckdb.connect()
+    given = con.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()
+    given = list({i: (i, t) for i, t in given}.values())
+    rng = random.Random(8)
+    starts = ["all rights are", "see page 7", "\u7248\u6743 \u6240\u6709 \u4fb5\u6743", "1 2 3"]
+    made = []
+    for i in range(120):
+        lines = []
+        for _ in range(rng.randrange(4)):
+            size = rng.choice([0, 1, 4, 7, 10, 13])
+            said = [rng.choice("abc") if rng.random() < 0.2 else f"w{'xyz'[k % 3]}" for k in range(size)]
+            lines.append(rng.choice(starts) + rng.choice([" ", "  ", "\t"]) + " ".join(said))
+        made.append((1_000_000 + i, "\n".join(lines)))
+    made += [(None, made[0][1]), made[1], made[1]]
+    counts = modelled(spark, given + made)
+    assert sum(n for _, _, _, n in counts) > 100
+
+
+def test_a_family_of_near_copies_keeps_one(spark):
+    for n in (21, 1000):
+        base = [f"w{'abcdefghij'[k % 10]}{'klmnop'[k % 6]}" for k in range(n)]
+        said = [" ".join(base[:n // 2 + i] + ["odd"] + base[n // 2 + i + 1:]) for i in range(6)]
+        got = dropped_lines(spark, said)
+        assert got[0] == [] and [len(x) for x in got[1:]] == [1] * 5
+        modelled(spark, list(enumerate(said)))
+
+
+def test_a_very_long_line_costs_what_its_length_is(spark):
+    import time
+
+    took = []
+    for n in (2000, 20_000):
+        base = [f"w{k % 977}x".replace("0", "o").translate(str.maketrans("123456789", "abcdefghi")) for k in range(n)]
+        said = [" ".join(base[:n // 2 + i] + ["odd"] + base[n // 2 + i + 1:]) for i in range(6)]
+        began = time.time()
+        assert [len(x) for x in dropped_lines(spark, said)] == [0, 1, 1, 1, 1, 1]
+        took.append(time.time() - began)
+    assert took[1] < 6 * took[0] + 10  # ten times the words; a copy of the line for each place would be a hundred times
+
+
 def test_line_templates_edges(edge_docs, no_docs):
     out = drop_recurring_lines(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_lines", "n_dropped"]
@@ -221,10 +276,8 @@ def test_pipeline_stages(spark, edge_docs, no_docs, monkeypatch):
         if name == "language_id":
             assert Counter(rows) == Counter((i, t) for i, t in before if any(c.isalpha() for c in t or ""))
         elif name == "line_dedup":
-            assert Counter(i for i, _ in rows) == Counter(i for i, _ in before)
+            assert Counter(rows) == Counter((i, t) for i, t, *_ in line_model.model(before))
         elif name == "simhash_near_dedup":
-            from test_near import fingerprint, roots_of
-
             prints = [fingerprint(t) for _, t in before]
             links = [(a, b) for a in range(len(before)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
             groups = {}
@@ -238,7 +291,38 @@ def test_pipeline_stages(spark, edge_docs, no_docs, monkeypatch):
         docs = spark.createDataFrame(out.collect(), out.schema)
         before = rows
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
-    assert sorted({r.doc_id or 0 for r in packed.collect()}) == sorted({i or 0 for i, _ in before})
+    library = Tokenizer.from_file(default_tokenizer_path())
+    pieces, room = Counter(), {}
+    for i, t in before:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        ends = list(range(len(ids), 0, -2048))[::-1]
+        for k, (a, b) in enumerate(zip([0, *ends], ends)):
+            pieces[i, k, a, b - a, np.array(ids[a:b], "<u4").tobytes()] += 1
+    got = packed.collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, bytes(r.ids)) for r in got) == pieces
+    for r in got:
+        room.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in room.values():  # side by side from 0 on
+        spans.sort()
+        assert [a for a, _ in spans] == [0, *np.cumsum([n for _, n in spans])[:-1].tolist()] and sum(n for _, n in spans) <= 2048
+
+
+def test_pipeline_without_labels(spark, edge_docs):
+    """Nothing to learn from: documents with letters stay."""
+    for unlabelled in (edge_docs.withColumn("lang", F.lit(None).cast("string")), edge_docs.where("doc_id = 2")):
+        rows = [r.text for r in unlabelled.select("text").collect()]
+        out = corpus_pipeline.STAGES[0][1](spark, unlabelled.withColumn("lang", F.lit(None).cast("string")), SMALL)
+        assert Counter(r.text for r in out.collect()) == Counter(t for t in rows if any(c.isalpha() for c in t or ""))
+
+
+def test_every_label_is_learned(spark):
+    """Labels beyond any round number of them, each with its own letters."""
+    said = {f"l{k:03}": "".join(chr(0x61 + (k * 7 + j * (k % 5 + 1)) % 26) for j in range(6)) for k in range(90)}
+    docs = spark.createDataFrame([(i, said[k], k) for i, k in enumerate(sorted(said) * 9)], "doc_id long, text string, lang string")
+    texts, labels = language_id.sample(docs.repartition(4))
+    assert set(labels) == set(said) and len(texts) <= language_id.SAMPLE_DOCS
+    few, labels = language_id.sample(docs.unionByName(docs).where("doc_id < 200"))
+    assert max(Counter(labels).values()) <= language_id.SAMPLE_DOCS // len(set(labels))
 
 
 def test_pipeline_run(spark):
@@ -250,9 +334,12 @@ def test_pipeline_run(spark):
     for i, t in docs.items():
         if judged(t, items)[3] and judged(t, items)[1] == judged(t, items)[0]:
             assert i not in kept
-    # documents unlike all others, free of benchmark passages, stay
+    # documents unlike all others, free of benchmark passages, stay: all but the near copies of another
+    left = {i: t for i, t, *_ in line_model.model(list(docs.items()))}
     clean = [i for i, t in docs.items() if texts[t] == 1 and any(c.isalpha() for c in t or "") and not judged(t, items)[1]]
-    assert len(set(clean) - kept) <= 0.05 * len(clean)
+    prints = {i: fingerprint(left[i]) for i in docs if any(c.isalpha() for c in docs[i] or "")}
+    near = lambda i: any(j < i and (prints[i] ^ prints[j]).bit_count() <= 2 for j in prints)
+    assert all(near(i) for i in set(clean) - kept)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
