@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from postclust.llm.best_fit import pack
 from postclust.llm.common import keep_listed, materialize, read_table, row_keyed, ship_package
 from postclust.llm.decontaminate import contaminated, contamination
-from postclust.llm.language_id import UNDETERMINED, fit, predict
+from postclust.llm.language_id import UNDETERMINED, fit, has_letters, predict
 from postclust.llm.line_templates import drop_recurring_lines
 from postclust.llm.simhash import near_groups
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose language can't be told: null texts and those without letters."""
-    judged = predict(docs, fit(docs.select("doc_id", "text", "lang")))
-    return judged.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    """Without the documents whose language can't be told: null texts and those without letters.
+    Where no document has a label to learn from, the others stay although nothing names their language."""
+    model = fit(docs.select("doc_id", "text", "lang"))
+    judged = predict(docs, model)
+    told = F.col("lang_pred") != UNDETERMINED if model else has_letters(F.col("row.text"))
+    return judged.where(told).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
