@@ -11,12 +11,13 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postclust.session import ensure_checkpoint_dir
 
-#: Rows of one or two fixed-width columns that may be broadcast (about 16 MB).
-#: Longer lists are joined by shuffling both sides.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a list that may be broadcast, as ``may_broadcast`` counts them. Longer lists
+#: are joined by shuffling both sides.
+BROADCAST_BYTES = 16_000_000
 
 #: Tasks over which the rows of one key are spread in ``salted_lookup``.
 SALTS = 64
@@ -80,12 +81,26 @@ def salted_lookup(rows: DataFrame, key: str, table: DataFrame, salt_by: list[str
     return salted.join(found, [key, "_salt"], how).drop("_salt")
 
 
+def fixed_bytes(kind: T.StructType) -> int:
+    """Bytes of a row in Spark's format without what strings and arrays hold: a word of null
+    bits and 8 bytes a field, structs inside likewise."""
+    return 8 + sum(8 + (fixed_bytes(f.dataType) if isinstance(f.dataType, T.StructType) else 0) for f in kind.fields)
+
+
+def may_broadcast(listed: DataFrame) -> bool:
+    """Whether ``listed`` (a table, or cheap to make) is measured to be small enough for a broadcast:
+    its rows, what its strings hold, and as much again for the hash table."""
+    texts = [F.octet_length(f"`{f.name}`") for f in listed.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lists = [8 * F.size(f"`{f.name}`") for f in listed.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    wide = sum((F.coalesce(c, F.lit(0)).cast("long") for c in [*texts, *lists]), F.lit(fixed_bytes(listed.schema)).cast("long"))
+    return (listed.agg(F.sum(2 * wide)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def keep_listed(rows: DataFrame, listed: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
-    """Rows whose ``keys`` are in ``listed`` (``left_anti``: are not). The list is counted:
-    up to ``BROADCAST_ROWS`` it is broadcast, so that the (wide) rows stay where they
+    """Rows whose ``keys`` are in ``listed`` (``left_anti``: are not). The list is measured:
+    up to ``BROADCAST_BYTES`` it is broadcast, so that the (wide) rows stay where they
     are, beyond that both sides are shuffled."""
-    small = listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(listed) if small else listed, keys, how)
+    return rows.join(F.broadcast(listed) if may_broadcast(listed) else listed, keys, how)
 
 
 def row_keyed(rows: DataFrame) -> DataFrame:

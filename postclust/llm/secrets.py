@@ -27,7 +27,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postclust.llm.common import BROADCAST_ROWS, materialize
+from postclust.llm.common import materialize, may_broadcast
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     """``(doc_id, spans)`` of every row: ``(start, kind_order, end, kind)`` by start, then kind."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     listed = materialize(candidates(rows, rules), "candidates")
-    if listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if may_broadcast(listed):
         listed = F.broadcast(listed)
     rows = rows.join(listed, "doc_id", "left")
     none = F.array().cast("array<struct<start:int,kind_order:int,end:int,kind:string>>")

@@ -194,3 +194,75 @@ def test_blocks_cover_every_window_once():
     _, _, start, windows = blocks_of(words, 50, 8)
     covered = [w for s, m in zip(start.tolist(), windows.tolist()) for w in range(s, s + m)]
     assert covered == list(range(len(words) - 49))
+
+
+def coded(words):
+    return np.array(words, dtype="<u8").tobytes()
+
+
+@pytest.mark.parametrize("segments", [1, 2, 256])
+def test_parsed_and_joined_blocks_agree(spark, monkeypatch, segments):
+    """All blocks joined by window, some, and all parsed."""
+    import postclust.llm.lz_spans as lz
+
+    monkeypatch.setattr(lz, "BLOCK_SEGMENTS", segments)
+    rng = random.Random(11)
+    shared = [[rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(12)] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randrange(5)):
+            piece = rng.choice(shared)
+            a = rng.randrange(6)
+            words += piece[a:a + rng.randrange(3, 12)] + [rng.choice("abcdefgh") for _ in range(rng.randrange(3))]
+        rows.append((rng.choice([None, i, i, i // 2]), " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert spans_rows(frame, window=6, gram=2) == kept_words(rows, 6)
+
+
+def test_lists_too_long_to_broadcast(spark, edge_docs, monkeypatch):
+    """Every join with a list gives the same rows when the list is shuffled."""
+    import postclust.llm.common as common
+    from postclust.llm import decontaminate, secrets
+    from postclust.llm.cuckoo import drop_copies
+    from postclust.llm.line_templates import drop_recurring_lines
+
+    bench = spark.createDataFrame([(1, prose(40, 1)), (2, "one")], "item_id long, text string")
+    results = []
+    for limit in (common.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        found = [dedup_spans(edge_docs), drop_recurring_lines(edge_docs), secrets.scan(edge_docs), drop_copies(edge_docs).select("text"),
+                 decontaminate.contamination(edge_docs, bench)]
+        results.append([sorted(map(str, f.collect())) for f in found])
+    assert results[0] == results[1]
+
+
+def test_greedy_factors():
+    from postclust.llm.lz_spans import ReferenceBlock
+
+    block = ReferenceBlock()
+    assert block.factors(coded([1, 2])) == [(0, 0), (1, 0)] and block.factors(b"") == []
+    block.add(coded([1, 2, 3, 4, 5]))
+    block.add(coded([9, 3, 4, 7, 7, 7]))
+    assert block.factors(coded([1, 2, 3, 4, 7, 8, 7, 7, 7, 7, 5])) == [(0, 4), (4, 1), (5, 0), (6, 3), (9, 1), (10, 1)]
+    # 3 4 7 and the second 7 7 7 cross a boundary and stand in the block; 2 3 4 lies in the first factor
+    assert block.duplicates(coded([1, 2, 3, 4, 7, 8, 7, 7, 7, 7, 5]), 3) == 0b11000111
+
+
+@pytest.mark.parametrize("letters", [2, 3, 6])
+def test_parse_finds_all_windows(letters):
+    from postclust.llm.lz_spans import parse_block
+
+    rng = random.Random(letters)
+    for _ in range(150):
+        window = rng.choice([1, 2, 5, 9])
+        texts = [[rng.randrange(letters) for _ in range(rng.randrange(window, 3 * window + 6))] for _ in range(rng.randrange(1, 6))]
+        for t in texts[1:]:  # copied pieces
+            a, n = rng.randrange(len(t)), rng.randrange(2 * window)
+            t[a:a + n] = texts[0][:n]
+        ids = [rng.randrange(4) for _ in texts]
+        found = dict(parse_block([(i, k, coded(t)) for k, (i, t) in enumerate(zip(ids, texts))], window))
+        windows = lambda t: [tuple(t[p:p + window]) for p in range(len(t) - window + 1)]
+        for k, (i, t) in enumerate(zip(ids, texts)):
+            earlier = {w for j, u in zip(ids, texts) if j < i for w in windows(u)}
+            assert found.get(k, 0) == sum(1 << p for p, w in enumerate(windows(t)) if w in earlier), (texts, ids, window)
