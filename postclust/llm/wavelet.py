@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postclust.llm.bpe import array_batches, default_tokenizer_path, encoder, release_memory
-from postclust.llm.common import BROADCAST_ROWS, scratch_path
+from postclust.llm.common import may_broadcast, scratch_path
 
 END_ID = 2
 
@@ -63,9 +63,9 @@ class WaveletMatrix:
             ones = np.bitwise_count(words.view("<u8")).reshape(-1, RANK_BITS // 64).sum(axis=1, dtype=np.uint32)
             planes.append(plane)
             ranks.append(np.r_[np.uint32(0), np.cumsum(ones, dtype=np.uint32)[:-1]].astype("<u4") if len(ones) else ones.astype("<u4"))
-            low = cur[~bit]
+            low = np.compress(~bit, cur)
             zeros.append(len(low))
-            cur = np.concatenate((low, cur[bit]))
+            cur = np.concatenate((low, np.compress(bit, cur)))
         return cls(len(ids), width, zeros, b"".join(p.tobytes() for p in planes), b"".join(r.tobytes() for r in ranks))
 
     def ids(self) -> np.ndarray:
@@ -76,8 +76,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
             out = np.empty_like(cur)
             z = self.zeros[level]
-            out[~bit] = cur[:z]
-            out[bit] = cur[z:] | kind(1 << (self.width - 1 - level))
+            out[np.flatnonzero(~bit)] = cur[:z]
+            out[np.flatnonzero(bit)] = cur[z:] | kind(1 << (self.width - 1 - level))
             cur = out
         return cur.astype("<u4")
 
@@ -220,7 +220,7 @@ def with_starts(shards: DataFrame, rows: DataFrame) -> DataFrame:
     The totals are summed over one row per shard."""
     totals = shards.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    if totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if may_broadcast(totals):
         before = F.broadcast(before)
     return rows.join(before, "shard").withColumn("start", F.col("before") + F.col("start_in_shard")).drop("before")
 
