@@ -116,13 +116,15 @@ LINES = r"""
 WITH line AS (
     SELECT doc_id, text, unnest(string_split(text, chr(10))) AS said, unnest(range(len(string_split(text, chr(10))))) AS line_no
     FROM documents WHERE text IS NOT NULL
+), cut AS (
+    SELECT doc_id, line_no, said, regexp_extract_all(said, '[^ \t\n\x0B\f\r]+') AS raw FROM line
 ), word AS (
-    SELECT doc_id, line_no, said, list_transform(regexp_extract_all(said, '[^ \t\n\x0B\f\r]+'),
-        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws
-    FROM line
+    SELECT doc_id, line_no, said, raw, list_transform(raw, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS opened
+    FROM cut WHERE len(raw) >= 3 OR len(regexp_extract_all(said, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]')) >= 3
 ), formed AS (
-    SELECT doc_id, line_no, ws, len(ws) || '|' || array_to_string(ws[1:3], ' ') AS leaf, array_to_string(ws, ' ') AS form
-    FROM word WHERE len(ws) >= 3
+    SELECT doc_id, line_no, ws, len(ws) || '|' || array_to_string(branch, ' ') AS leaf, array_to_string(ws, ' ') AS form
+    FROM (SELECT doc_id, line_no, CASE WHEN bare THEN raw ELSE opened END AS ws, CASE WHEN bare THEN raw ELSE opened[1:3] END AS branch
+          FROM (SELECT *, len(list_filter(opened, lambda w: w <> '<*>')) = 0 AS bare FROM word))
 ), seen AS (
     SELECT DISTINCT doc_id, leaf, form, ws FROM formed
 ), own AS (
@@ -140,17 +142,31 @@ WITH line AS (
     FROM most JOIN (SELECT leaf, count(*) AS lines FROM different GROUP BY leaf) USING (leaf) GROUP BY leaf
 ), common_form AS (
     SELECT leaf, cs FROM (SELECT leaf, cs, len(list_filter(cs[4:], lambda c: c IS NOT NULL)) AS fixed FROM constants)
-    WHERE fixed >= 1 AND fixed >= 0.7::DOUBLE * (len(cs) - 3)
+    WHERE fixed >= 1 AND fixed >= 0.7::DOUBLE * (len(cs) - 3) AND len(list_filter(cs, lambda c: c IS NOT NULL AND c <> '<*>')) > 0
 ), matched AS (
     SELECT leaf, form FROM different JOIN common_form USING (leaf)
     WHERE len(list_filter(list_zip(ws, cs), lambda p: p[2] IS NOT NULL AND p[1] <> p[2])) = 0
 ), shared AS (
     SELECT leaf, min(doc_id) AS common_first FROM seen JOIN matched USING (leaf, form) GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3
+), run AS (
+    SELECT leaf, form, p, ws[:p] || ws[p + n + 1:] AS outside
+    FROM (SELECT leaf, form, ws, n, unnest(range(3, len(ws) - n + 1)) AS p
+          FROM (SELECT *, (len(ws) - 3 - ceil(0.7::DOUBLE * (len(ws) - 3)))::BIGINT AS n FROM different) WHERE n >= 1)
+), member AS (
+    SELECT leaf, form, leaf || '|' || p || '|' || array_to_string(outside, ' ') AS template
+    FROM run WHERE len(list_filter(outside, lambda w: w <> '<*>')) > 0
+), several AS (
+    SELECT template FROM member GROUP BY template HAVING count(*) > 1
+), run_template AS (
+    SELECT template, count(DISTINCT doc_id) AS docs, min(doc_id) AS first
+    FROM member JOIN several USING (template) JOIN seen USING (leaf, form) GROUP BY template HAVING count(DISTINCT doc_id) >= 3
+), run_form AS (
+    SELECT leaf, form, arg_min(first, (-docs, first)) AS run_first FROM member JOIN run_template USING (template) GROUP BY leaf, form
 ), template AS (
-    SELECT leaf, form, own_first, common_first
-    FROM own FULL JOIN (SELECT leaf, form, common_first FROM matched JOIN shared USING (leaf)) USING (leaf, form)
+    SELECT leaf, form, own_first, run_first, common_first
+    FROM own FULL JOIN run_form USING (leaf, form) FULL JOIN (SELECT leaf, form, common_first FROM matched JOIN shared USING (leaf)) USING (leaf, form)
 ), dropped AS (
-    SELECT doc_id, line_no FROM formed JOIN template USING (leaf, form) WHERE doc_id <> coalesce(common_first, own_first)
+    SELECT doc_id, line_no FROM formed JOIN template USING (leaf, form) WHERE doc_id <> coalesce(common_first, run_first, own_first)
 ), kept AS (
     SELECT doc_id, count(*) AS n_kept, string_agg(said, chr(10) ORDER BY line_no) AS text
     FROM line ANTI JOIN dropped USING (doc_id, line_no) GROUP BY doc_id
