@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,27 +49,46 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of all documents with their ids (little-endian unsigned 32-bit)."""
+def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, narrow: bool = False) -> DataFrame:
+    """Pieces of all documents with their ids, little-endian unsigned 32-bit; ``narrow``: 16-bit
+    where the vocabulary fits."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        kind = np.dtype("<u2" if narrow and max(len(coder.token_bytes) - 1, end_id) < 1 << 16 else "<u4")
+        end, size = np.array([end_id], dtype=kind).tobytes(), kind.itemsize
         for batch in batches:
             texts, keys = batch.column("text"), batch.column("doc_id").to_pylist()
             for part in array_batches(texts):
                 ids, n = coder.encode_array(texts[part])
-                raw, ends, out = ids.astype("<u4").tobytes(), 4 * np.cumsum(n), []
+                raw, ends, out = ids.astype(kind).tobytes(), size * np.cumsum(n), []
                 for key, a, b in zip(keys[part], [0, *ends.tolist()], ends.tolist()):
                     own = raw[a:b] + end
-                    for i, (start, length) in enumerate(cut(len(own) // 4, capacity)):
-                        out.append((key, i, start, length, own[4 * start:4 * (start + length)]))
+                    for i, (start, length) in enumerate(cut(len(own) // size, capacity)):
+                        out.append((key, i, start, length, own[size * start:size * (start + length)]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), PIECE_TYPES)], names=PIECE_NAMES)
         release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECE_SCHEMA)
 
 
+def widened(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with 32-bit ``ids``, whichever they had."""
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, at = batch.column("ids"), batch.schema.get_field_index("ids")
+            ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            data = np.frombuffer(ids.buffers()[2], np.uint8)[ends[0]:ends[-1]].tobytes() if len(ids) else b""
+            if data and len(data) == 2 * pc.sum(batch.column("length")).as_py():
+                wide = np.frombuffer(data, "<u2").astype("<u4").tobytes()
+                offsets = (2 * (ends - ends[0])).astype(np.int32).tobytes()
+                ids = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(wide)])
+            yield batch.set_column(at, batch.schema.field(at), ids)
+
+    return pieces.mapInArrow(widen, pieces.schema)
+
+
 def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
     """Best-fit decreasing over counts of lengths: rows of ``PLAN_SCHEMA``.
 
@@ -134,7 +154,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     """``(doc_id, piece, start, length, sequence_id, offset)`` and what is asked
     for of each piece: its ``ids`` if nothing else, or the ``payload`` columns
     made of them, which then travel in their place."""
-    pieces = materialize(encode_pieces(docs, tokenizer_path or default_tokenizer_path(), capacity, end_id), "pieces")
-    payload = {"ids": F.col("ids")} if payload is None else payload
-    rows = pieces.select("doc_id", "piece", "start", "length", *[c.alias(name) for name, c in payload.items()])
-    return place(rows, capacity)
+    path = tokenizer_path or default_tokenizer_path()
+    pieces = materialize(encode_pieces(docs, path, capacity, end_id, narrow=payload is None), "pieces")
+    if payload is None:
+        return widened(place(pieces, capacity))
+    return place(pieces.select("doc_id", "piece", "start", "length", *[c.alias(name) for name, c in payload.items()]), capacity)

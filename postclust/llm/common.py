@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,14 +57,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Lists that take the paths of tables as they are written, the innermost last.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``materialize`` writes within the block."""
+    _noted.append([])
+    try:
+        yield _noted[-1]
+    finally:
+        _noted.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``materialize`` has written and that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs its running tasks only. The table
-    stays for as long as the folder does.
+    stays for as long as the folder does, unless someone notes and drops it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _noted:
+        _noted[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
