@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postclust.llm.best_fit import pack
-from postclust.llm.common import keep_listed, materialize, read_table, row_keyed, ship_package
+from postclust.llm.common import drop_tables, keep_listed, materialize, noted_tables, read_table, row_keyed, ship_package
 from postclust.llm.decontaminate import contaminated, contamination
 from postclust.llm.language_id import UNDETERMINED, fit, has_letters, predict
 from postclust.llm.line_templates import drop_recurring_lines
@@ -72,9 +72,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the whole of ``documents``; each writes a table that the next one reads."""
+    """All stages on the whole of ``documents``; each writes a table that the next one reads, and
+    what it wrote for itself goes after that."""
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with noted_tables() as own:
+            kept = stage(spark, docs, sf_dir)
+        docs = materialize(kept, name)
+        drop_tables(spark, own)
     return docs
